@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillcast.config import Feature, Grid, Target
 from rillcast.functions.timeaxis import calendar, floor_div, tick_of, tick_time
-from rillcast.operators.scan import next_point
+from rillcast.operators.scan import literal_rows, next_point, sized
 
 OBS_KEYS = ("site_id", "variable_code")
 
@@ -81,7 +81,7 @@ def overlap(series_bounds: DataFrame, by: str, expected: int) -> DataFrame:
 
 
 def stretches(
-    points: DataFrame, ranges: DataFrame, keys: Sequence[str], block: int | None
+    points: DataFrame, ranges: DataFrame | None, keys: Sequence[str], block: int | None
 ) -> DataFrame:
     """Cut each series' range into stretches that start at a point.
 
@@ -89,19 +89,22 @@ def stretches(
     attached; a leading stretch without a point covers missing ticks at the
     start. Columns: keys, lo, hi, prev_tick, prev_value, next_tick, next_value,
     first, last. Everything about a gap is known here, before any tick is
-    written out.
+    written out. Without ``ranges`` a series spans its own first to last point.
     """
-    inside = points.join(ranges, list(keys)).where(F.col("tick").between(F.col("lo"), F.col("hi")))
-    opening = ranges.select(
-        *keys,
-        "lo",
-        "hi",
-        (F.col("lo") - 1).alias("tick"),
-        F.lit(None).cast("double").alias("value"),
-    )
-    linked = next_point(
-        inside.select(*opening.columns).unionByName(opening), keys, block
-    )
+    if ranges is None:
+        linked = next_point(points.select(*keys, "tick", "value"), keys, block, span=True)
+    else:
+        inside = points.join(ranges, list(keys)).where(
+            F.col("tick").between(F.col("lo"), F.col("hi"))
+        )
+        opening = ranges.select(
+            *keys,
+            "lo",
+            "hi",
+            (F.col("lo") - 1).alias("tick"),
+            F.lit(None).cast("double").alias("value"),
+        )
+        linked = next_point(inside.select(*opening.columns).unionByName(opening), keys, block)
     is_point = F.col("value").isNotNull()
     return linked.select(
         *keys,
@@ -181,13 +184,10 @@ def fill_series(
     fill: str,
     keys: Sequence[str] = OBS_KEYS,
     ranges: DataFrame | None = None,
-    block: int | None = -1,
 ) -> DataFrame:
     """Dense series per key with the observed and the filled value."""
-    block = grid.block if block == -1 else block
-    runs = stretches(points, bounds(points, keys) if ranges is None else ranges, keys, block)
-    pieces = into_blocks(runs, block) if block else runs
-    return ticks(pieces).select(
+    runs = stretches(points, ranges, keys, grid.block)
+    return ticks(into_blocks(runs, grid.block)).select(
         *keys,
         "tick",
         tick_time("tick", grid).alias("datetime"),
@@ -196,46 +196,74 @@ def fill_series(
     )
 
 
-def feature_points(points: DataFrame, target: Target) -> DataFrame:
-    """Attach to each target site the points of the series its features read.
-
-    The mapping table has one row per target site, feature and code; it comes
-    from the settings, not from the data.
-    """
-    spark = points.sparkSession
+def feature_map(spark: SparkSession, target: Target) -> DataFrame:
+    """Which series feeds which feature of which target site (from the settings)."""
     rows = [
         (site, f.name, f.site_id if f.site_id is not None else site, code)
         for site in target.site_ids
         for f in target.features
         for code in f.variable_codes
     ]
-    mapping = spark.createDataFrame(
-        rows, "target_site int, feature string, site_id int, variable_code string"
+    table = literal_rows(
+        spark, "target_site int, feature string, site_id int, variable_code string", rows
     )
-    return points.join(mapping, ["site_id", "variable_code"]).drop("site_id", "variable_code")
-
-
-def feature_observations(obs: DataFrame, target: Target, grid: Grid) -> DataFrame:
-    """Hourly points of every feature of every target site: ``target_site, feature, tick, value``."""
-    spec = [(c, f.allow_negative) for f in target.features for c in f.variable_codes]
-    codes = sorted({c for c, _ in spec})
-    signed = sorted({c for c, ok in spec if ok})
-    sites = {f.site_id for f in target.features}
-    wanted = obs.where(F.col("variable_code").isin(codes))
-    if None not in sites:
-        wanted = wanted.where(F.col("site_id").isin(sorted(sites)))
-    else:
-        wanted = wanted.where(F.col("site_id").isin(sorted((sites - {None}) | set(target.site_ids))))
-    clean = wanted.withColumn(
-        "value", blank_negative(F.col("value"), F.col("variable_code").isin(signed))
+    return sized(table, len(rows))
+
+
+def wanted(obs: DataFrame, target: Target) -> DataFrame:
+    """The observations a target reads, negatives blanked where they cannot occur."""
+    codes = sorted({c for f in target.features for c in f.variable_codes})
+    signed = sorted({c for f in target.features if f.allow_negative for c in f.variable_codes})
+    sites = {f.site_id for f in target.features if f.site_id is not None}
+    if any(f.site_id is None for f in target.features):
+        sites |= set(target.site_ids)
+    out = obs.where(F.col("variable_code").isin(codes))
+    if target.site_ids:
+        out = out.where(F.col("site_id").isin(sorted(sites)))
+    allowed = F.col("variable_code").isin(signed) if signed else F.lit(False)
+    return out.withColumn("value", blank_negative(F.col("value"), allowed)).where(
+        present(F.col("value"))
     )
-    many = any(len(f.variable_codes) > 1 for f in target.features)
-    if not many:
-        return feature_points(bucket_last(clean, grid), target)
-    # Several codes feed one feature: they compete for the tick.
-    return bucket_last(
-        feature_points(clean, target), grid, keys=("target_site", "feature")
+
+
+def feature_stretches(obs: DataFrame, target: Target, grid: Grid) -> DataFrame:
+    """Stretches of every feature of every target site over their common range."""
+    clean = wanted(obs, target)
+    if len(target.features) == 1 and target.main.site_id is None:
+        # Own series only: any number of sites, no mapping and no range join.
+        points = bucket_last(
+            clean.withColumnRenamed("site_id", "target_site"), grid, keys=("target_site",)
+        )
+        return stretches(points, None, ("target_site",), grid.block).withColumn(
+            "feature", F.lit(target.main.name)
+        )
+    if not target.site_ids:
+        raise ValueError("a target with support series needs its site ids")
+    keys = ("target_site", "feature")
+    mapping = feature_map(obs.sparkSession, target)
+    by_series = ["site_id", "variable_code"]
+    # Ticks rise with time, so the ends of a series need no bucketing.
+    ends = (
+        clean.groupBy(*by_series)
+        .agg(F.min("datetime_utc").alias("a"), F.max("datetime_utc").alias("b"))
+        .join(mapping, by_series)
+        .groupBy(*keys)
+        .agg(
+            tick_of(F.min("a"), grid).alias("lo"),
+            tick_of(F.max("b"), grid).alias("hi"),
+        )
     )
+    names = F.array(*[F.lit(f.name) for f in target.features])
+    common = overlap(ends, "target_site", len(target.features)).withColumn(
+        "feature", F.explode(names)
+    )
+    if any(len(f.variable_codes) > 1 for f in target.features):
+        # Several codes feed one feature and compete for its ticks.
+        points = bucket_last(clean.join(mapping, by_series), grid, keys=keys)
+    else:
+        points = bucket_last(clean, grid).join(mapping, by_series)
+    n = len(target.site_ids) * len(target.features)
+    return stretches(points.select(*keys, "tick", "value"), sized(common, n), keys, grid.block)
 
 
 def regular_blocks(
@@ -248,29 +276,32 @@ def regular_blocks(
     with their gap) are shuffled; ticks are written out after the shuffle, and
     the later frames by (site, block) need no other one.
     """
-    keys = ("target_site", "feature")
-    points = feature_observations(obs, target, grid)
-    common = overlap(bounds(points, keys), "target_site", len(target.features))
-    names = F.array(*[F.lit(f.name) for f in target.features])
-    runs = stretches(points, common.withColumn("feature", F.explode(names)), keys, grid.block)
+    runs = feature_stretches(obs, target, grid)
     cells = ticks(
         into_blocks(runs, grid.block, before, after).repartition("target_site", "block")
     )
-    value = F.lit(None).cast("double")
-    for f in target.features:
-        value = F.when(F.col("feature") == f.name, filled(f.fill)).otherwise(value)
-    cells = cells.select("target_site", "block", "feature", "tick", "lo", "hi",
-                         value.alias("v"), observed_at().alias("o"))
-    aggs = []
-    for f in target.features:
-        mine = F.col("feature") == f.name
-        aggs += [
-            F.max(F.when(mine, F.col("v"))).alias(f.name),
-            F.max(F.when(mine, F.col("o"))).alias(f"{f.name}_observed"),
-        ]
-    wide = cells.groupBy("target_site", "block", "tick").agg(
-        F.min("lo").alias("lo"), F.min("hi").alias("hi"), *aggs
-    )
+    if len(target.features) == 1:
+        f = target.main
+        wide = cells.select(
+            "target_site", "block", "tick", "lo", "hi",
+            filled(f.fill).alias(f.name), observed_at().alias(f"{f.name}_observed"),
+        )
+    else:
+        value = F.lit(None).cast("double")
+        for f in target.features:
+            value = F.when(F.col("feature") == f.name, filled(f.fill)).otherwise(value)
+        cells = cells.select("target_site", "block", "feature", "tick", "lo", "hi",
+                             value.alias("v"), observed_at().alias("o"))
+        aggs = []
+        for f in target.features:
+            mine = F.col("feature") == f.name
+            aggs += [
+                F.max(F.when(mine, F.col("v"))).alias(f.name),
+                F.max(F.when(mine, F.col("o"))).alias(f"{f.name}_observed"),
+            ]
+        wide = cells.groupBy("target_site", "block", "tick").agg(
+            F.min("lo").alias("lo"), F.min("hi").alias("hi"), *aggs
+        )
     return wide.withColumnRenamed("target_site", "site_id").withColumns(
         {
             "core": floor_div(F.col("tick"), grid.block) == F.col("block"),

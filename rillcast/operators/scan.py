@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillcast.functions.timeaxis import floor_div
@@ -20,38 +20,54 @@ def next_point(
     points: DataFrame,
     keys: Sequence[str],
     block: int | None,
-    tick: str = "tick",
-    value: str = "value",
+    span: bool = False,
 ) -> DataFrame:
     """Add ``next_tick`` and ``next_value``: the following point of the series.
 
-    Ticks are unique per series. ``block`` None is for series whose length is
-    bounded by construction (one event's history).
+    Ticks are unique per series. ``span`` also adds ``lo`` and ``hi``, the
+    first and last tick of the series. ``block`` None is for series whose
+    length is bounded by construction (one event's history).
     """
     if block is None:
-        w = Window.partitionBy(*keys).orderBy(tick)
+        if span:
+            raise ValueError("span needs a block size")
+        w = Window.partitionBy(*keys).orderBy("tick")
         return points.withColumns(
-            {"next_tick": F.lead(tick).over(w), "next_value": F.lead(value).over(w)}
+            {"next_tick": F.lead("tick").over(w), "next_value": F.lead("value").over(w)}
         )
-    pts = points.withColumn("_block", floor_div(F.col(tick), block))
+    pts = points.withColumn("_block", floor_div(F.col("tick"), block))
     heads = pts.groupBy(*keys, "_block").agg(
-        F.min_by(value, tick).alias(value), F.min(tick).alias(tick)
+        F.min("tick").alias("_first"),
+        F.max("tick").alias("_last"),
+        F.min_by("value", "tick").alias("_value"),
     )
-    # One row per block: hand the first point to the block before it.
+    # One row per block, holding the first point of the block after it.
     over_blocks = Window.partitionBy(*keys).orderBy("_block")
-    handed = (
-        heads.withColumn("_block", F.lag("_block").over(over_blocks))
-        .where(F.col("_block").isNotNull())
-        .withColumn("_handed", F.lit(True))
+    whole = Window.partitionBy(*keys)
+    handed = heads.select(
+        *keys,
+        "_block",
+        F.lead("_first").over(over_blocks).alias("tick"),
+        F.lead("_value").over(over_blocks).alias("value"),
+        F.lit(True).alias("_handed"),
+        *(
+            [F.min("_first").over(whole).alias("lo"), F.max("_last").over(whole).alias("hi")]
+            if span
+            else []
+        ),
     )
-    w = Window.partitionBy(*keys, "_block").orderBy(tick)
-    return (
+    if not span:
+        handed = handed.where(F.col("tick").isNotNull())
+    w = Window.partitionBy(*keys, "_block").orderBy("tick")
+    linked = (
         pts.withColumn("_handed", F.lit(False))
         .unionByName(handed, allowMissingColumns=True)
-        .withColumns({"next_tick": F.lead(tick).over(w), "next_value": F.lead(value).over(w)})
-        .where(~F.col("_handed"))
-        .drop("_block", "_handed")
+        .withColumns({"next_tick": F.lead("tick").over(w), "next_value": F.lead("value").over(w)})
     )
+    if span:
+        all_of = Window.partitionBy(*keys, "_block")
+        linked = linked.withColumns({c: F.max(c).over(all_of) for c in ("lo", "hi")})
+    return linked.where(~F.col("_handed")).drop("_block", "_handed")
 
 
 def ranked(
@@ -90,6 +106,34 @@ def digest(cols: Sequence[str]) -> Column:
     )
 
 
+def literal_rows(spark: SparkSession, schema: str, rows: Sequence[tuple]) -> DataFrame:
+    """A small settings table as a local relation (no Python worker, known size)."""
+    names = [field.split()[0] for field in schema.split(",")]
+    types = [" ".join(field.split()[1:]) for field in schema.split(",")]
+
+    def cell(v, t):
+        if v is None:
+            return f"cast(null as {t})"
+        if isinstance(v, str):
+            text = v.replace("\\", "\\\\").replace("'", "\\'")
+            return f"cast('{text}' as {t})"
+        return f"cast({str(v).lower() if isinstance(v, bool) else v} as {t})"
+
+    if not rows:
+        return spark.createDataFrame([], schema)
+    body = ", ".join("(" + ", ".join(cell(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+
+
+# A settings table up to this many rows is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint for a table known to have at most ``rows`` rows, when that is small."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def dense_ids(df: DataFrame, natural: Sequence[str], name: str, start: int = 0) -> DataFrame:
     """Dense ids ``start+1, start+2, …`` in the order of the natural key's digest.
 
