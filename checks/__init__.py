@@ -1 +1,16 @@
 """Registered queries over the driver tables and their SQL twins."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ("series_queries", "sample_queries")
+
+
+def load():
+    """All queries and SQL texts, by name."""
+    from checks.registry import QUERIES, SQL
+
+    for module in MODULES:
+        importlib.import_module(f"checks.{module}")
+    return dict(QUERIES), dict(SQL)

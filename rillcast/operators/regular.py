@@ -105,6 +105,11 @@ def stretches(
             F.lit(None).cast("double").alias("value"),
         )
         linked = next_point(inside.select(*opening.columns).unionByName(opening), keys, block)
+    return as_stretches(linked, keys)
+
+
+def as_stretches(linked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Points with their next point (and range) to stretches; empty ones are left out."""
     is_point = F.col("value").isNotNull()
     return linked.select(
         *keys,

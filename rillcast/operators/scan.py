@@ -134,7 +134,9 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def dense_ids(df: DataFrame, natural: Sequence[str], name: str, start: int = 0) -> DataFrame:
+def dense_ids(
+    df: DataFrame, natural: Sequence[str], name: str, start: Column | int = 0
+) -> DataFrame:
     """Dense ids ``start+1, start+2, …`` in the order of the natural key's digest.
 
     The digest spreads evenly, so its leading digits cut the rows into even
@@ -150,7 +152,7 @@ def dense_ids(df: DataFrame, natural: Sequence[str], name: str, start: int = 0)
         name="_rank",
     )
     return numbered.select(
-        (F.col("_rank") + F.lit(start)).cast("long").alias(name),
+        (F.col("_rank") + (F.lit(start) if isinstance(start, int) else start)).cast("long").alias(name),
         *[c for c in df.columns],
     )
 
