@@ -190,7 +190,7 @@ def facts(
     ids = ["site_id", "variable_id", "owner_id", "qualifier_id", "processing_level_id"]
     if by_name:
         rows = ranked(
-            rows, [], ["staging_id", *ids], floor_div(F.col("staging_id"), 1 << 20), "datastream_id"
+            rows, [], ["staging_id", "datetime_utc", "value", *ids], floor_div(F.col("staging_id"), 1 << 20), "datastream_id"
         )
         number = F.col("datastream_id").cast("long")
     else:
