@@ -16,6 +16,7 @@ from rillcast.operators.models import fit_linear, linear_registry, score_linear
 from rillcast.operators.prep import trailing_year_split, usable_subsets, with_season_name
 from rillcast.operators.scan import literal_rows
 from rillcast.plans.training import training_samples
+from rillcast.sources.staged import stage
 
 HOURLY = Grid()
 DAILY = Grid(step=DAY)
@@ -201,12 +202,13 @@ samples AS (
 # --- split, model and long predictions on the daily samples -----------------
 
 def daily_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trailing_year_split(with_season_name(daily_samples(spark, sf_dir)), DAILY)
+    samples = stage(daily_samples(spark, sf_dir))
+    return trailing_year_split(with_season_name(samples), DAILY)
 
 
 def daily_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation forecasts of the per-season linear models."""
-    split = usable_subsets(daily_split(spark, sf_dir))
+    split = stage(usable_subsets(daily_split(spark, sf_dir)))
     models = linear_registry(fit_linear(split.where("part = 'train'")))
     return score_linear(split.where("part = 'validation'"), models, DAILY_SPEC.horizons)
 

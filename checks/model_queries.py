@@ -33,6 +33,7 @@ from rillcast.functions.vectors import (
 )
 from rillcast.operators import evaluate as ev
 from rillcast.operators import models, prep
+from rillcast.sources.staged import stage
 
 L, H = DAILY_SPEC.lags, DAILY_SPEC.horizons
 KEYS = ("site_id", "forecast_start_time")
@@ -327,7 +328,7 @@ def _(spark, sf_dir):
 @check("gbt_fit")
 def _(spark, sf_dir):
     horizons = (1, H)
-    data = _design(spark, sf_dir)
+    data = stage(_design(spark, sf_dir))
     fitted = models.fit_boosted(data.where("part = 'train'"), horizons, (3, 4), trees=5, depth=3)
     scored = models.score_boosted(data.where("part = 'validation'"), fitted, horizons)
     return ev.generic_metrics(ev.expand(scored, DAILY, "start", strict=False), ("site_id", "season"))
@@ -340,7 +341,10 @@ FROM (SELECT site_id, count(*) FILTER (WHERE part = 'train') AS train_rows, coun
         min(validation_start) AS validation_start, max(validation_end) AS validation_end FROM split GROUP BY site_id)
 JOIN {metric_sql("site_id")} USING (site_id)""")
 def _(spark, sf_dir):
-    out = ev.run_summary(daily_scored(spark, sf_dir), daily_split(spark, sf_dir), ("site_id",), DAILY)
+    split = stage(prep.usable_subsets(daily_split(spark, sf_dir)))
+    registry = models.linear_registry(models.fit_linear(split.where("part = 'train'")))
+    scored = models.score_linear(split.where("part = 'validation'"), registry, H)
+    out = ev.run_summary(scored, split, ("site_id",), DAILY)
     return _rounded(out)
 
 
@@ -406,7 +410,7 @@ SELECT 'discharge' AS target_variable, site_id, season, horizon_bin, n, {_measur
 UNION ALL
 SELECT 'discharge_raw', site_id, season, horizon_bin, n, {_measure_sql(SHORT)} FROM {metric_sql('site_id, season, horizon_bin', RAW_LONG)}""")
 def _(spark, sf_dir):
-    long = _long(spark, sf_dir)
+    long = stage(_long(spark, sf_dir))
     raw = long.withColumn("y_pred", F.col("y_pred_unclipped"))
     keys = ("site_id", "season", "horizon_bin")
     both = ev.combine({"discharge": ev.generic_metrics(long, keys), "discharge_raw": ev.generic_metrics(raw, keys)})
@@ -420,9 +424,8 @@ UNION ALL
 SELECT site_id, season, {rsql("persistence_rmse", "rmse", 4)}, {rsql("persistence_mae", "mae", 4)}, 'persistence',
   concat(upper(season[1]), season[2:]) FROM {metric_sql('site_id, season')}""")
 def _(spark, sf_dir):
-    m = ev.season_metrics(_long(spark, sf_dir))
-    base = m.select("site_id", "season", F.col("persistence_rmse").alias("rmse"), F.col("persistence_mae").alias("mae"))
-    out = ev.stack_models({"linear": m, "persistence": base}, ("site_id", "season", "rmse", "mae"))
+    m = stage(ev.season_metrics(_long(spark, sf_dir)))
+    out = ev.stack_models({"linear": m, "persistence": _baseline(m)}, ("site_id", "season", "rmse", "mae"))
     return _rounded(out, ("rmse", "mae"))
 
 
@@ -434,11 +437,15 @@ COMPARED_COLUMNS = ("rmse_linear", "mae_linear", "rmse_persistence", "mae_persis
                     "rmse_improvement_pct", "mae_improvement_pct")
 
 
+def _baseline(m):
+    return m.select(
+        "site_id", "season", F.col("persistence_rmse").alias("rmse"), F.col("persistence_mae").alias("mae")
+    )
+
+
 def _compared(spark, sf_dir):
-    long = _long(spark, sf_dir)
-    m = ev.season_metrics(long)
-    base = ev.season_metrics(long.withColumn("y_pred", F.col("y_persistence")))
-    return ev.compare_models(m, base, ("linear", "persistence"))
+    m = stage(ev.season_metrics(_long(spark, sf_dir)))
+    return ev.compare_models(m, _baseline(m), ("linear", "persistence"))
 
 
 @check("model_compare", f"WITH {COMPARED} SELECT site_id, season, {', '.join(rsql(c, c, 4) for c in COMPARED_COLUMNS)} FROM compared")

@@ -170,10 +170,15 @@ def pivot_seasons(df: DataFrame, rows: str, value: str) -> DataFrame:
 
 def pivot_bins(df: DataFrame, value: str, keys: Sequence[str] = ("site_id",)) -> DataFrame:
     """Horizon bins down, seasons across; bins without data stay as empty rows."""
-    have = df.groupBy(*keys, "horizon_bin").pivot("season", list(SEASONS)).agg(F.first(value))
+    cell = F.struct(F.concat_ws("/", "horizon_bin", "season"), F.col(value))
+    # At most bins x seasons cells per key.
+    held = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(cell)).alias("m"))
     labels = F.array(*[F.lit(b) for _, _, b in HORIZON_BINS])
-    frame = df.select(*keys).distinct().withColumn("horizon_bin", F.explode(labels))
-    return frame.join(have, [*keys, "horizon_bin"], "left")
+    return held.withColumn("horizon_bin", F.explode(labels)).select(
+        *keys,
+        "horizon_bin",
+        *[F.col("m")[F.concat_ws("/", "horizon_bin", F.lit(s))].alias(s) for s in SEASONS],
+    )
 
 
 def value_range(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rillcast.functions.timeaxis import floor_div
 from rillcast.operators.scan import dense_ids, ranked
+from rillcast.sources.staged import stage
 
 
 @dataclass(frozen=True)
@@ -199,11 +200,21 @@ def facts(
 
 
 def normalize(staging: DataFrame, by_name: bool = False) -> dict[str, DataFrame]:
-    """All tables of the star schema."""
-    out = {d.name: with_keys(members(staging, d), d) for d in PLAIN}
-    out["variable"] = with_keys(
-        variable_members(staging, out["unit"], out["method"], by_name),
-        VARIABLE, ("unit_id", "method_id"),
+    """All tables of the star schema.
+
+    The distinct descriptions are taken in one pass over staging; dimensions
+    come from them and are written once, so the fact joins see their size.
+    """
+    described = sorted(
+        {c for d in (*PLAIN, VARIABLE) for c in d.columns.values()}
+    )
+    combos = stage(staging.select(*described).distinct())
+    out = {d.name: stage(with_keys(members(combos, d), d)) for d in PLAIN}
+    out["variable"] = stage(
+        with_keys(
+            variable_members(combos, out["unit"], out["method"], by_name),
+            VARIABLE, ("unit_id", "method_id"),
+        )
     )
     out["datastream"] = facts(staging, out, by_name)
     return out

@@ -69,7 +69,7 @@ ISO_TIME = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\d{2})?)?$"
 )
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$|^(?i)[+-]?(nan|inf|infinity)$"
-MAX_COLUMNS = 32
+QUOTED_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -148,6 +148,17 @@ def metadata(entries: DataFrame) -> DataFrame:
     )
 
 
+def cells(line: Column) -> Column:
+    """Cells of a CSV line; commas inside quotes do not separate."""
+    return F.when(line.contains('"'), F.split(line, QUOTED_COMMA)).otherwise(F.split(line, ","))
+
+
+def unquoted(cell: Column) -> Column:
+    c = F.trim(cell)
+    inner = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.when(c.rlike('^".*"$'), F.trim(inner)).otherwise(c)
+
+
 def records(text: DataFrame) -> DataFrame:
     """Data lines as ``file, time_text, value_text, qualifier_text``, columns found by their header name.
 
@@ -155,32 +166,25 @@ def records(text: DataFrame) -> DataFrame:
     """
     data = text.where(~F.col("line").startswith("#") & (F.trim("line") != ""))
     names = data.groupBy("file").agg(F.min_by("line", "position").alias("names"))
-    cells = ", ".join(f"c{i} string" for i in range(MAX_COLUMNS))
-
-    def split(df, line):
-        parsed = df.withColumn("_row", F.from_csv(line, cells))
-        row = F.array(*[F.col(f"_row.c{i}") for i in range(MAX_COLUMNS)])
-        return parsed.withColumn("_cells", row).drop("_row")
-
-    places = split(names, "names").select(
-        "file",
-        "names",
-        *[
-            F.array_position(F.transform("_cells", lambda x: F.trim(x)), n).alias(f"_{n}")
-            for n in (TIME, RESULT, QUALIFIER)
-        ],
+    titles = F.transform(cells(F.col("names")), unquoted)
+    places = names.select(
+        "file", "names", *[F.array_position(titles, n).alias(f"_{n}") for n in (TIME, RESULT, QUALIFIER)]
     )
 
     def cell(name):
-        at = F.col(f"_{name}")
-        return F.when(at > 0, F.trim(F.element_at("_cells", at.cast("int"))))
+        at = F.col(f"_{name}").cast("int")
+        return unquoted(F.when(at > 0, F.try_element_at("_cells", at)))
 
-    rows = data.join(places, "file").where(F.col("line") != F.col("names"))
-    return split(rows, "line").select(
-        "file",
-        cell(TIME).alias("time_text"),
-        cell(RESULT).alias("value_text"),
-        cell(QUALIFIER).alias("qualifier_text"),
+    return (
+        data.join(places, "file")
+        .where(F.col("line") != F.col("names"))
+        .withColumn("_cells", cells(F.col("line")))
+        .select(
+            "file",
+            cell(TIME).alias("time_text"),
+            cell(RESULT).alias("value_text"),
+            cell(QUALIFIER).alias("qualifier_text"),
+        )
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 from rillcast.config import Target
 from rillcast.operators.live import CSV_COLUMNS, PREDICTION_KEY
 from rillcast.operators.samples import from_columns, to_columns
-from rillcast.session import checkpoint_dir
 
 METRIC_SCHEMA = (
     "site_id int, season string, rmse double, mae double, persistence_rmse double, "
@@ -19,18 +17,6 @@ METRIC_SCHEMA = (
 )
 
 
-def stage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write an intermediate result once and go on from the written table.
-
-    For results used more than once. The files lie in the shared checkpoint
-    folder, so lost executors cost a task, not the lineage behind it.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def scan(
     spark: SparkSession, path: str, columns: Sequence[str] = ("*",), where: str | None = None
 ) -> DataFrame:
