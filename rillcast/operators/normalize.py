@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -209,7 +210,10 @@ def normalize(staging: DataFrame, by_name: bool = False) -> dict[str, DataFrame]
         {c for d in (*PLAIN, VARIABLE) for c in d.columns.values()}
     )
     combos = stage(staging.select(*described).distinct())
-    out = {d.name: stage(with_keys(members(combos, d), d)) for d in PLAIN}
+    # Independent small jobs: run side by side.
+    with ThreadPoolExecutor(max_workers=len(PLAIN)) as pool:
+        written = pool.map(lambda d: (d.name, stage(with_keys(members(combos, d), d))), PLAIN)
+        out = dict(written)
     out["variable"] = stage(
         with_keys(
             variable_members(combos, out["unit"], out["method"], by_name),
