@@ -355,7 +355,7 @@ LIVE_HORIZONS = 24
 
 
 def live_registry(spark: SparkSession) -> DataFrame:
-    """Sixteen models with plain coefficients, without discharge / site 4 / winter."""
+    """Sixteen models with made-up coefficients, without discharge / site 4 / winter."""
     rows = [
         (t, s, season, f"models/{t}/site_{s}/{season}", 0.1 * (i + 1), 0.5 * s)
         for t, sites in (("air_temperature", (1, 2)), ("discharge", (3, 4)))
@@ -371,7 +371,7 @@ def live_registry(spark: SparkSession) -> DataFrame:
     h = F.sequence(F.lit(1), F.lit(LIVE_HORIZONS))
     return base.select(
         "target_variable", "site_id", "season", "model_path",
-        F.transform(h, lambda k: F.col("a") - k / F.lit(100.0)).alias("slopes"),
+        F.transform(h, lambda k: F.col("a") - k / F.lit(97.0)).alias("slopes"),
         F.transform(h, lambda k: F.col("b") + k / F.lit(10.0)).alias("intercepts"),
     )
 

@@ -189,7 +189,7 @@ walk AS (
     SELECT datastream_id, 0, base FROM ready
     UNION ALL
     SELECT w.datastream_id, w.horizon + 1,
-      least(greatest(base + (b + (w.horizon + 1) / 10) + (a - (w.horizon + 1) / 100) * x,
+      least(greatest(base + (b + (w.horizon + 1) / 10) + (a - (w.horizon + 1) / 97) * x,
                      v - greatest(2.0, 0.0523598775598 * abs(v), 1.5 * top)), v + greatest(2.0, 0.0523598775598 * abs(v), 1.5 * top))
     FROM w JOIN ready USING (datastream_id) WHERE w.horizon < 24)
   SELECT * FROM w WHERE horizon > 0),
