@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("table_queries", "series_queries", "sample_queries", "model_queries", "live_queries")
+MODULES = (
+    "table_queries", "series_queries", "sample_queries", "model_queries", "live_queries", "stream_queries",
+)
 
 
 def load():

@@ -228,13 +228,13 @@ def _(spark, sf_dir):
     )
 
 
-# Forecasts of all events, then once more with a shifted value for those of site 2: the later write wins.
-@check("upsert", f"""WITH {FORECAST} SELECT {PRED_COLUMNS}, {rsql('prediction + CASE WHEN site_id = 2 THEN 1000 ELSE 0 END', 'prediction')}
+# Forecasts of all events, then once more with a raised value for those of site 2: the later write wins.
+@check("upsert", f"""WITH {FORECAST} SELECT {PRED_COLUMNS}, {rsql('prediction * CASE WHEN site_id = 2 THEN 1.0123456789 ELSE 1 END', 'prediction')}
 FROM pred QUALIFY row_number() OVER (PARTITION BY model_family, target_variable, site_id, history_end_time, season_key, horizon
   ORDER BY source_datastream_id DESC) = 1""")
 def _(spark, sf_dir):
     rows = stage(forecasts(spark, sf_dir))
-    again = rows.where("site_id = 2").withColumn("prediction", F.col("prediction") + 1000)
+    again = rows.where("site_id = 2").withColumn("prediction", F.col("prediction") * 1.0123456789)
     return live.upsert(live.upsert(rows.limit(0), rows), again).withColumn("prediction", r("prediction"))
 
 

@@ -23,6 +23,15 @@ CYCLIC = (
 SEASON_FLAGS = ("season_winter", "season_spring", "season_summer", "season_fall")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    Used inside a lambda a column expression would be computed once per
+    element, because the optimizer writes it out where it is used.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def finite(x: Column) -> Column:
     """Null, NaN and infinite values become 0."""
     return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), F.lit(0.0)).otherwise(x)
@@ -34,11 +43,11 @@ def newest(lags: str = "lags") -> Column:
 
 def deltas(targets: str = "targets", base: Column | None = None) -> Column:
     b = newest() if base is None else base
-    return F.transform(F.col(targets), lambda y: y - b)
+    return let(b, lambda known: F.transform(F.col(targets), lambda y: y - known))
 
 
 def absolute(delta: Column, base: Column) -> Column:
-    return F.transform(delta, lambda d: d + base)
+    return let(base, lambda known: F.transform(delta, lambda d: d + known))
 
 
 def persistence(horizons: int, base: Column | None = None) -> Column:
@@ -67,12 +76,18 @@ def clipped(preds: Column, base: Column, step_limit: Column, clip: Clip) -> Colu
 
     def step(acc, p):
         prev = acc["prev"]
-        room = F.greatest(F.lit(clip.floor), F.lit(clip.pct) * F.abs(prev), F.lit(clip.multiplier) * step_limit)
+        room = F.greatest(F.lit(clip.floor), F.lit(clip.pct) * F.abs(prev), acc["limit"])
         value = F.least(F.greatest(p, prev - room), prev + room)
-        return F.struct(value.alias("prev"), F.concat(acc["out"], F.array(value)).alias("out"))
+        return F.struct(
+            value.alias("prev"),
+            acc["limit"].alias("limit"),
+            F.concat(acc["out"], F.array(value)).alias("out"),
+        )
 
     start = F.struct(
-        base.cast("double").alias("prev"), F.array().cast("array<double>").alias("out")
+        base.cast("double").alias("prev"),
+        (F.lit(clip.multiplier) * step_limit).alias("limit"),
+        F.array().cast("array<double>").alias("out"),
     )
     return F.aggregate(preds, start, step, lambda acc: acc["out"])
 

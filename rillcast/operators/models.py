@@ -16,6 +16,7 @@ from rillcast.functions.vectors import (
     clipped,
     deltas,
     largest_step,
+    let,
     newest,
     persistence,
 )
@@ -35,9 +36,11 @@ def fit_linear(train: DataFrame, keys: Sequence[str] = GROUP) -> DataFrame:
     All groups and horizons are fitted by one aggregate; a group of any size is
     combined on the map side. A constant departure gives slope 0.
     """
-    long = train.select(
-        *keys, departure().alias("x"), F.posexplode(deltas()).alias("pos", "y")
-    ).withColumn("horizon", F.col("pos") + 1)
+    # The departure is computed before the explode, once per sample.
+    per_sample = train.select(*keys, departure().alias("x"), deltas().alias("d"))
+    long = per_sample.select(*keys, "x", F.posexplode("d").alias("pos", "y")).withColumn(
+        "horizon", F.col("pos") + 1
+    )
     fitted = long.groupBy(*keys, "horizon").agg(
         F.count(F.lit(1)).alias("n"),
         F.regr_slope("y", "x").alias("_slope"),
@@ -77,9 +80,12 @@ def score_linear(
     df: DataFrame, registry: DataFrame, horizons: int, clip: Clip = Clip(), keys: Sequence[str] = GROUP
 ) -> DataFrame:
     """Forecasts of every sample that has a model."""
-    joined = df.join(registry, list(keys)).withColumn("_x", departure())
-    predicted = F.zip_with("slopes", "intercepts", lambda s, i: i + s * F.col("_x"))
-    return with_forecasts(joined, predicted, clip, horizons).drop("_x", "slopes", "intercepts")
+    predicted = let(
+        departure(), lambda x: F.zip_with("slopes", "intercepts", lambda s, i: i + s * x)
+    )
+    return with_forecasts(df.join(registry, list(keys)), predicted, clip, horizons).drop(
+        "slopes", "intercepts"
+    )
 
 
 def score_with(
