@@ -203,20 +203,16 @@ def facts(
 def normalize(staging: DataFrame, by_name: bool = False) -> dict[str, DataFrame]:
     """All tables of the star schema.
 
-    The distinct descriptions are taken in one pass over staging; dimensions
-    come from them and are written once, so the fact joins see their size.
+    Each dimension reads its own columns of staging, is reduced to its members
+    on the map side and written once, so the fact joins see its size.
     """
-    described = sorted(
-        {c for d in (*PLAIN, VARIABLE) for c in d.columns.values()}
-    )
-    combos = stage(staging.select(*described).distinct())
     # Independent small jobs: run side by side.
     with ThreadPoolExecutor(max_workers=len(PLAIN)) as pool:
-        written = pool.map(lambda d: (d.name, stage(with_keys(members(combos, d), d))), PLAIN)
+        written = pool.map(lambda d: (d.name, stage(with_keys(members(staging, d), d))), PLAIN)
         out = dict(written)
     out["variable"] = stage(
         with_keys(
-            variable_members(combos, out["unit"], out["method"], by_name),
+            variable_members(staging, out["unit"], out["method"], by_name),
             VARIABLE, ("unit_id", "method_id"),
         )
     )

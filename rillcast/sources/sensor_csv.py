@@ -156,7 +156,8 @@ def cells(line: Column) -> Column:
 def unquoted(cell: Column) -> Column:
     c = F.trim(cell)
     inner = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
-    return F.when(c.rlike('^".*"$'), F.trim(inner)).otherwise(c)
+    quoted = c.startswith('"') & c.endswith('"') & (F.length(c) > 1)
+    return F.when(quoted, F.trim(inner)).otherwise(c)
 
 
 def records(text: DataFrame) -> DataFrame:
