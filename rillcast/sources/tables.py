@@ -81,7 +81,7 @@ def write_training(
         .partitionBy("site_id")
         .parquet(path)
     )
-    if samples.sparkSession.read.parquet(path).isEmpty():
+    if samples.sparkSession.read.schema(wide.schema).parquet(path).isEmpty():
         raise ValueError(f"no {target.name} samples were written to {path}")
 
 
