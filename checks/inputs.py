@@ -38,22 +38,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(i: int, kind: str):
-    out = F.lit(None).cast(kind)
-    for event_type, row in MAPPING.items():
-        out = F.when(F.col("event_type") == event_type, F.lit(row[i]).cast(kind)).otherwise(out)
-    return out
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("datastream_id"),
         F.when(F.col("event_id") % 10 == 0, exact).otherwise(F.col("ts")).alias("datetime_utc"),
-        _pick(0, "int").alias("site_id"),
-        _pick(1, "string").alias("variable_code"),
-        _pick(2, "int").alias("variable_id"),
-        (F.col("value") - _pick(3, "double")).alias("value"),
+        F.expr(_case(0)).alias("site_id"),
+        F.expr(_case(1)).alias("variable_code"),
+        F.expr(_case(2)).alias("variable_id"),
+        (F.col("value") - F.expr(_case(3)).cast("double")).alias("value"),
     )
 
 

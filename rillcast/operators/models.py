@@ -20,6 +20,7 @@ from rillcast.functions.vectors import (
     newest,
     persistence,
 )
+from rillcast.sources.staged import per_key
 
 GROUP = ("site_id", "season_name")
 
@@ -83,7 +84,7 @@ def score_linear(
     predicted = let(
         departure(), lambda x: F.zip_with("slopes", "intercepts", lambda s, i: i + s * x)
     )
-    return with_forecasts(df.join(registry, list(keys)), predicted, clip, horizons).drop(
+    return with_forecasts(df.join(per_key(registry), list(keys)), predicted, clip, horizons).drop(
         "slopes", "intercepts"
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rillcast.config import Grid
 from rillcast.functions.timeaxis import season_name, season_name_of_code, shift
 from rillcast.functions.vectors import SEASON_FLAGS, deltas, finite, time_feature_steps
+from rillcast.sources.staged import per_key
 
 # Sample time columns and the version columns, best first.
 TIME_COLUMNS = ("history_end_time", "forecast_start_time", "forecast_end_time")
@@ -115,7 +116,7 @@ def trailing_year_split(
         F.col("forecast_start_time") >= F.col("validation_start"), F.lit("validation")
     )
     return (
-        df.join(split_bounds(df, grid, keys), list(keys))
+        df.join(per_key(split_bounds(df, grid, keys)), list(keys))
         .withColumn("part", part)
         .where(F.col("part").isNotNull())
     )
@@ -151,47 +152,49 @@ def season_subsets(split: DataFrame, keys: Sequence[str] = ("site_id", "season_n
 
 
 def usable_subsets(split: DataFrame, keys: Sequence[str] = ("site_id", "season_name")) -> DataFrame:
-    good = season_subsets(split, keys).where("usable").select(*keys)
+    good = per_key(season_subsets(split, keys).where("usable").select(*keys))
     return split.join(good, list(keys), "left_semi")
 
 
 def exact_medians(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], bins: int = 1024
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], accuracy: int = 10_000, bins: int = 1024
 ) -> DataFrame:
     """Exact median of each column per key, as ``keys, name, median``.
 
-    Values are first counted per distinct value; equal-width bins then tell
-    which values can hold the middle ranks, and only those bins are ordered.
-    No task sees all values of a key.
+    Approximate quantiles just below and above the middle (their rank error is
+    at most n / accuracy) bound where the median lies, whatever the outliers.
+    Values between them are counted per distinct value and per equal-width bin;
+    only the bins holding the middle ranks are ordered. No task sees all values
+    of a key.
     """
-    long = df.select(
-        *keys,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"))
-                    for c in columns
-                ]
-            )
-        ).alias("e"),
-    ).select(*keys, "e.name", "e.v")
     by = [*keys, "name"]
-    counts = long.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy(*by, "v").agg(
-        F.count(F.lit(1)).alias("n")
+    pairs = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns]
+    long = (
+        df.select(*keys, F.explode(F.array(*pairs)).alias("e"))
+        .select(*keys, "e.name", "e.v")
+        .where(F.col("v").isNotNull() & ~F.isnan("v"))
     )
-    spread = counts.groupBy(*by).agg(
-        F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("total")
+    slack = 3.0 / accuracy
+    near = F.percentile_approx("v", [0.5 - slack, 0.5 + slack], accuracy)
+    limits = per_key(
+        long.groupBy(*by)
+        .agg(near.alias("q"), F.count(F.lit(1)).alias("total"))
+        .select(*by, "total", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
     )
-    at = F.when(F.col("high") > F.col("low"),
-                F.least(F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * bins),
-                        F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    binned = counts.join(spread, by).withColumn("bin", at)
+    width = F.col("high") - F.col("low")
+    at = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("low")) / width * bins), F.lit(bins - 1)))
+    # Bin -1 counts what lies below; what lies above is not needed.
+    held = long.join(limits, by).where(F.col("v") <= F.col("high"))
+    held = held.withColumn(
+        "bin", F.when(F.col("v") < F.col("low"), F.lit(-1)).otherwise(F.coalesce(at, F.lit(0))).cast("int")
+    ).withColumn("v", F.when(F.col("bin") >= 0, F.col("v")))
+    counts = held.groupBy(*by, "total", "bin", "v").agg(F.count(F.lit(1)).alias("n"))
     over_bins = Window.partitionBy(*by).orderBy("bin")
     # Middle ranks, 1-based: the same one twice when the count is odd.
     lower = F.call_function("div", F.col("total") + 1, F.lit(2))
     upper = F.call_function("div", F.col("total") + 2, F.lit(2))
     middle = (
-        binned.groupBy(*by, "bin", "total")
+        counts.groupBy(*by, "total", "bin")
         .agg(F.sum("n").alias("in_bin"))
         .withColumn("upto", F.sum("in_bin").over(over_bins))
         .withColumn("before", F.col("upto") - F.col("in_bin"))
@@ -199,20 +202,16 @@ def exact_medians(
         .select(*by, "bin", "before")
     )
     over_values = Window.partitionBy(*by, "bin").orderBy("v")
-    ranked = (
-        binned.join(middle, [*by, "bin"])
+    ranks = (
+        counts.join(middle, [*by, "bin"])
         .withColumn("upto", F.col("before") + F.sum("n").over(over_values))
         .withColumn("after", F.col("upto") - F.col("n"))
     )
-    return ranked.groupBy(*by).agg(
-        (
-            (
-                F.max(F.when((F.col("after") < lower) & (F.col("upto") >= lower), F.col("v")))
-                + F.max(F.when((F.col("after") < upper) & (F.col("upto") >= upper), F.col("v")))
-            )
-            / 2
-        ).alias("median")
-    )
+
+    def value_at(rank):
+        return F.max(F.when((F.col("after") < rank) & (F.col("upto") >= rank), F.col("v")))
+
+    return ranks.groupBy(*by).agg(((value_at(lower) + value_at(upper)) / 2).alias("median"))
 
 
 def impute_static(
@@ -224,7 +223,7 @@ def impute_static(
     wide = medians.groupBy(*keys).pivot("name", list(columns)).agg(F.first("median"))
     wide = wide.select(*keys, *[F.col(c).alias(f"_median_{c}") for c in columns])
     return (
-        numeric.join(wide, list(keys), "left")
+        numeric.join(per_key(wide), list(keys), "left")
         .withColumns(
             {c: F.coalesce(F.nanvl(F.col(c), F.lit(None)), f"_median_{c}", F.lit(0.0)) for c in columns}
         )
@@ -286,7 +285,7 @@ def scale(
 
     A static unknown to the data counts as 0 before scaling.
     """
-    out = df.join(scaler_columns(scalers, statics, keys), list(keys))
+    out = df.join(per_key(scaler_columns(scalers, statics, keys)), list(keys))
     for c in statics:
         if c not in df.columns:
             out = out.withColumn(c, F.lit(0.0))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillcast.operators.normalize import table_counts
 from rillcast.operators.scan import latest_rows, top_times
+from rillcast.sources.staged import per_key
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -226,7 +227,7 @@ def latest_other(events: DataFrame, facts: DataFrame, keys: Sequence[str] = ("si
     Events are rows of ``facts``. Only when an event alone holds the latest
     time does the runner-up matter.
     """
-    tops = top_times(facts, keys, "datetime_utc")
+    tops = per_key(top_times(facts, keys, "datetime_utc"))
     alone = (F.col("datetime_utc") == F.col("latest")) & (F.col("n_latest") == 1)
     return (
         events.join(tops, list(keys), "left")

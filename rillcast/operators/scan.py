@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillcast.functions.timeaxis import floor_div
+from rillcast.sources.staged import per_key
 
 
 def next_point(
@@ -178,7 +179,7 @@ def latest_rows(df: DataFrame, keys: Sequence[str], time: str, tie: str) -> Data
     Two hash aggregates with map-side combine: a hot key costs no more than
     any other rows.
     """
-    latest = df.groupBy(*keys).agg(F.max(time).alias("_latest"))
+    latest = per_key(df.groupBy(*keys).agg(F.max(time).alias("_latest")))
     rest = [c for c in df.columns if c not in keys]
     return (
         df.join(latest, list(keys))
@@ -191,7 +192,7 @@ def latest_rows(df: DataFrame, keys: Sequence[str], time: str, tie: str) -> Data
 
 def top_times(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     """Per key the latest time, how many rows share it, and the runner-up time."""
-    latest = df.groupBy(*keys).agg(F.max(time).alias("latest"))
+    latest = per_key(df.groupBy(*keys).agg(F.max(time).alias("latest")))
     return (
         df.select(*keys, time)
         .join(latest, list(keys))

@@ -21,3 +21,14 @@ def stage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def per_key(df: DataFrame) -> DataFrame:
+    """Stage a table with one row per series before it is joined to the series' rows.
+
+    Unwritten, its size is unknown when the join is planned and the large side
+    would be shuffled by series, a hot one into few tasks. Written, a table
+    below the broadcast threshold is broadcast and the large side stays where
+    it is; above it the join falls back to a shuffle with skew splitting.
+    """
+    return stage(df)
