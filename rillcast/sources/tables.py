@@ -56,13 +56,17 @@ def append_staging(rows: DataFrame, path: str) -> None:
 
 
 def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Fact table by site and month: the filters of every reader prune folders."""
+    """Fact table by site and year, sorted by series and time inside a file.
+
+    Site and time filters prune folders and row groups. The rebalance lets the
+    shuffle split a hot site and join small ones, so files have an even size.
+    """
     (
-        facts.withColumn("month", F.date_format("datetime_utc", "yyyy-MM"))
-        .repartition("site_id", "month", F.pmod(F.xxhash64("datastream_id"), F.lit(16)))
-        .sortWithinPartitions("variable_id", "datetime_utc")
+        facts.withColumn("year", F.year("datetime_utc"))
+        .hint("rebalance", F.col("site_id"), F.col("year"))
+        .sortWithinPartitions("site_id", "year", "variable_id", "datetime_utc")
         .write.mode(mode)
-        .partitionBy("site_id", "month")
+        .partitionBy("site_id", "year")
         .parquet(path)
     )
 
@@ -72,11 +76,9 @@ def write_training(
 ) -> None:
     """Training files with named lag and target columns, one folder per site; fails when empty."""
     wide = to_columns(samples, target.main.name, lags, horizons)
-    # Salted by forecast month so that one large site is written by many tasks.
+    # The rebalance splits a large site over several tasks and files.
     (
-        wide.withColumn("_month", F.date_trunc("month", "forecast_start_time"))
-        .repartition("site_id", "_month")
-        .drop("_month")
+        wide.hint("rebalance", F.col("site_id"))
         .write.mode(mode)
         .partitionBy("site_id")
         .parquet(path)
@@ -144,13 +146,16 @@ MODEL_SCHEMA = (
 )
 
 
-def registry(spark: SparkSession, pattern: str, schema: str = MODEL_SCHEMA) -> DataFrame:
+def registry(
+    spark: SparkSession, pattern: str, schema: str = MODEL_SCHEMA, one_per_file: bool = True
+) -> DataFrame:
     """All model documents under a path pattern as one table; fails when there is none.
 
     Also reads plain metadata documents without coefficients (those stay null).
+    ``one_per_file`` off reads one document per line.
     """
     try:
-        df = spark.read.schema(schema).option("multiLine", "true").json(pattern)
+        df = spark.read.schema(schema).option("multiLine", str(one_per_file).lower()).json(pattern)
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"no model documents match {pattern}") from e
