@@ -106,7 +106,8 @@ def sample_blocks(
 
     One sort by (site, block, tick) serves every frame. Rejections use running
     maxima ("last bad tick so far", read ahead by the horizon), so their cost
-    per row does not depend on the window length.
+    per row does not depend on the window length. Lags and targets are cut out
+    of one array per block, for kept samples only.
     """
     L, H = spec.lags, spec.horizons
     w = block_window(keys)
@@ -122,8 +123,7 @@ def sample_blocks(
     observed = F.col(f"{main}_observed")
     first = {
         "_long_gap": t - oldest >= spec.max_gap,
-        "_lags": F.collect_list(main).over(w.rowsBetween(-L, -1)),
-        "_targets": F.collect_list(observed).over(w.rowsBetween(0, H - 1)),
+        "_position": F.row_number().over(w),
         "_unobserved": F.max(F.when(observed.isNull(), t)).over(so_far),
         "_from": F.lag("tick", L).over(w),
         "_until": F.lead("tick", H - 1).over(w) if H > 1 else t,
@@ -145,7 +145,7 @@ def sample_blocks(
         "_gap_ahead": F.lead("_last_gap", H - 1).over(w) if H > 1 else F.col("_last_gap"),
         "_unobserved_ahead": F.lead("_unobserved", H - 1).over(w) if H > 1 else F.col("_unobserved"),
     }
-    stride, lands = stride_columns(t, F.col("lo"), grid, spec)
+    _, lands = stride_columns(t, F.col("lo"), grid, spec)
     kept = (
         F.col("core")
         & (t >= F.col("lo") + F.lit(L))
@@ -158,23 +158,39 @@ def sample_blocks(
     if context:
         kept = kept & F.col("precip_avg_last_24h").isNotNull()
     names = ["snow_depth_latest", "air_temp_avg_last_24h", "precip_avg_last_24h"] if context else []
-    start = F.col("forecast_start_time")
-    return (
+    # One array per block (block ticks and halo), then slices of it per kept sample.
+    cells = F.array_sort(
+        F.collect_list(F.struct(F.col("_position"), F.col(main).alias("v"), observed.alias("o")))
+    )
+    blocks = (
         flagged.withColumns(ahead)
-        .where(kept)
-        .withColumn("forecast_start_time", tick_time(t, grid))
-        .select(
-            "site_id",
-            tick_time(t - 1, grid).alias("history_end_time"),
-            "forecast_start_time",
-            tick_time(t + F.lit(H - 1), grid).alias("forecast_end_time"),
-            *names,
-            *[c.alias(n) for n, c in calendar(start).items()],
-            stride.alias("sample_stride_hours"),
-            F.col("_lags").alias("lags"),
-            F.col("_targets").alias("targets"),
+        .groupBy(*keys)
+        .agg(
+            cells["v"].alias("_filled"),
+            cells["o"].alias("_observed"),
+            F.collect_list(F.when(kept, F.struct("tick", "_position", *names))).alias("_kept"),
         )
     )
+    at = F.col("_sample._position")
+    samples = blocks.select(*keys, "_filled", "_observed", F.explode("_kept").alias("_sample")).select(
+        *[k for k in keys if k != "block"],
+        F.col("_sample.tick").alias("tick"),
+        *[F.col(f"_sample.{n}").alias(n) for n in names],
+        F.slice("_filled", at - F.lit(L), L).alias("lags"),
+        F.slice("_observed", at, H).alias("targets"),
+    )
+    stride, _ = stride_columns(t, F.lit(0), grid, spec)
+    return samples.withColumn("forecast_start_time", tick_time(t, grid)).select(
+        *[k for k in keys if k != "block"],
+        tick_time(t - 1, grid).alias("history_end_time"),
+        "forecast_start_time",
+        tick_time(t + F.lit(H - 1), grid).alias("forecast_end_time"),
+        *names,
+        *[c.alias(n) for n, c in calendar("forecast_start_time").items()],
+        stride.alias("sample_stride_hours"),
+        "lags",
+        "targets",
+    )
 
 
 def reach_back(spec: SampleSpec, context: bool) -> int:
