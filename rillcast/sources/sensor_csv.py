@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillcast.operators.scan import literal_rows
+from rillcast.sources.staged import per_key
 
 # Fixed values: (section, key) of the header and the staging column it fills.
 HEADER_KEYS = (
@@ -168,8 +169,10 @@ def records(text: DataFrame) -> DataFrame:
     data = text.where(~F.col("line").startswith("#") & (F.trim("line") != ""))
     names = data.groupBy("file").agg(F.min_by("line", "position").alias("names"))
     titles = F.transform(cells(F.col("names")), unquoted)
-    places = names.select(
-        "file", "names", *[F.array_position(titles, n).alias(f"_{n}") for n in (TIME, RESULT, QUALIFIER)]
+    places = per_key(
+        names.select(
+            "file", "names", *[F.array_position(titles, n).alias(f"_{n}") for n in (TIME, RESULT, QUALIFIER)]
+        )
     )
 
     def cell(name):
@@ -207,7 +210,7 @@ def staging_rows(spark: SparkSession, path: str, apply_no_data: bool = False) ->
     a value.
     """
     text = lines(spark, path)
-    described = observations(records(text)).join(metadata(header_entries(text)), "file", "left")
+    described = observations(records(text)).join(per_key(metadata(header_entries(text))), "file", "left")
     if apply_no_data:
         described = described.withColumn(
             "value", F.when(~F.col("value").eqNullSafe(F.col("no_data_value")), F.col("value"))
