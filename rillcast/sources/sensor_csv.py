@@ -179,16 +179,17 @@ def records(text: DataFrame) -> DataFrame:
         at = F.col(f"_{name}").cast("int")
         return unquoted(F.when(at > 0, F.try_element_at("_cells", at)))
 
+    texts = F.struct(
+        cell(TIME).alias("time_text"),
+        cell(RESULT).alias("value_text"),
+        cell(QUALIFIER).alias("qualifier_text"),
+    )
+    # The generator keeps later filters from splitting the line a second time.
     return (
         data.join(places, "file")
         .where(F.col("line") != F.col("names"))
         .withColumn("_cells", cells(F.col("line")))
-        .select(
-            "file",
-            cell(TIME).alias("time_text"),
-            cell(RESULT).alias("value_text"),
-            cell(QUALIFIER).alias("qualifier_text"),
-        )
+        .select("file", F.inline(F.array(texts)))
     )
 
 
