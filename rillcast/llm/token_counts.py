@@ -22,7 +22,8 @@ def pieces(text: str, size: int) -> Iterator[str]:
         cut = next((i for i in range(at + size, len(text)) if text[i] in " \t\n\v\f\r"), len(text))
         yield text[at:cut]
         at = cut
-    yield text[at:]
+    if at < len(text) or not text:
+        yield text[at:]
 
 
 def balanced(batches: Iterable[pa.RecordBatch], batch_bytes: int):
