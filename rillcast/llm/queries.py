@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rillcast.llm.token_counts import token_counts
+from rillcast.llm.token_planes import read_planes, write_planes
 
 WORD_MODEL = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -15,11 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_planes(write_planes(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL)))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL))
 
 
 QUERIES = {
+    "op2_token_planes": op2_token_planes,
     "op5_token_counts": op5_token_counts,
 }
 SQL: dict[str, str] = {}
