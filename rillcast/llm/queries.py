@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rillcast.llm.token_counts import token_counts
 from rillcast.llm.token_planes import read_planes, write_planes
+from rillcast.llm.warc_packages import read_packages, write_packages
 
 WORD_MODEL = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -24,8 +25,28 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL))
 
 
+def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_packages(write_packages(table(spark, sf_dir, "pages")), payloads=False).drop("url", "payload")
+
+
+# Five hexadecimal digits of the digest are four base-32 digits.
+PAGES_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, upper(sha1(payload)) AS h FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h, payload_bytes) AS keep FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keep THEN keep END AS refers_to
+FROM k
+"""
+
 QUERIES = {
     "op2_token_planes": op2_token_planes,
     "op5_token_counts": op5_token_counts,
+    "op7_warc_packages": op7_warc_packages,
+}
+SQL: dict[str, str] = {
+    "op7_warc_packages": PAGES_SQL,
 }
-SQL: dict[str, str] = {}
