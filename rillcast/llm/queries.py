@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rillcast.llm.piece_bpe import piece_digests
 from rillcast.llm.token_counts import token_counts
 from rillcast.llm.token_planes import read_planes, write_planes
 from rillcast.llm.warc_packages import read_packages, write_packages
@@ -21,6 +22,10 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_planes(write_planes(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL)))
 
 
+def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL))
 
@@ -35,8 +40,8 @@ WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT page_id, octet_length(payload) AS payload_bytes, upper(sha1(payload)) AS h FROM p),
 k AS (SELECT *, max(page_id) OVER (PARTITION BY h, payload_bytes) AS keep FROM d)
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
-  list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    ((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1) FOR i IN range(32)], 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> keep THEN keep END AS refers_to
 FROM k
@@ -44,6 +49,7 @@ FROM k
 
 QUERIES = {
     "op2_token_planes": op2_token_planes,
+    "op4_piece_bpe": op4_piece_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_warc_packages": op7_warc_packages,
 }
