@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rillcast.llm.piece_bpe import piece_digests
 from rillcast.llm.token_counts import token_counts
 from rillcast.llm.token_planes import read_planes, write_planes
+from rillcast.llm.url_templates import Rule, judge_urls
 from rillcast.llm.warc_packages import read_packages, write_packages
 
 WORD_MODEL = "word_bpe_49k.json"
@@ -47,11 +49,26 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM k
 """
 
+RULES = (
+    Rule("allow", "com/"), Rule("block", "example.com/en/"), Rule("allow", "www.example.com/en/"),
+    Rule("block", "net/es/"), Rule("block", "net/fr/"),
+)
+
+
+def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    # A page's path names the document that it shows; that document's label is the page's.
+    shown = pages.select("page_id", F.regexp_extract("url", r"://[^/?#]*/[^?#]*?([0-9]+)", 1).try_cast("long").alias("doc_id"))
+    labels = shown.join(table(spark, sf_dir, "labels").selectExpr("doc_id", "toxic AS bad"), "doc_id")
+    return judge_urls(pages, labels, RULES).drop("template", "purity")
+
+
 QUERIES = {
     "op2_token_planes": op2_token_planes,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_token_counts": op5_token_counts,
     "op7_warc_packages": op7_warc_packages,
+    "op8_url_templates": op8_url_templates,
 }
 SQL: dict[str, str] = {
     "op7_warc_packages": PAGES_SQL,
