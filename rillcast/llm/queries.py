@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillcast.llm.piece_bpe import piece_digests
+from rillcast.llm.simhash import fingerprint_text, simhash_groups
 from rillcast.llm.token_counts import token_counts
 from rillcast.llm.token_planes import read_planes, write_planes
 from rillcast.llm.url_templates import Rule, judge_urls
@@ -32,6 +33,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_packages(write_packages(table(spark, sf_dir, "pages")), payloads=False).drop("url", "payload")
 
@@ -67,6 +73,7 @@ QUERIES = {
     "op2_token_planes": op2_token_planes,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_token_counts": op5_token_counts,
+    "op6_simhash": op6_simhash,
     "op7_warc_packages": op7_warc_packages,
     "op8_url_templates": op8_url_templates,
 }
