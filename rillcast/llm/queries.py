@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillcast.llm.piece_bpe import piece_digests
+from rillcast.llm.quality_rules import STOP_WORDS, quality_rules
 from rillcast.llm.simhash import fingerprint_text, simhash_groups
 from rillcast.llm.token_counts import token_counts
 from rillcast.llm.token_planes import read_planes, write_planes
@@ -25,6 +26,36 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_planes(write_planes(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL)))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), name="q").select(
+        "doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "q.base_failed", "q.kept"
+    )
+
+
+QUALITY_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+s AS (SELECT doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM t),
+c AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len([x FOR x IN w IF list_contains([{", ".join(f"'{v}'" for s in STOP_WORDS for v in dict.fromkeys((s, s.capitalize(), s.upper())))}], x)]) AS n_stop,
+    [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines, w
+  FROM s),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM c WHERE len(w) >= 5),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS n FROM p),
+r AS (SELECT doc_id, count(*) AS n_repeat_words FROM (SELECT DISTINCT doc_id, unnest(range(i, i + 5)) AS at FROM g WHERE n > 1) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, n_stop, len(lines) AS n_lines
+  FROM c LEFT JOIN r USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+    OR n_symbols > 0.1 * n_words OR (n_words >= 40 AND n_stop < 0.02 * n_words) OR (n_lines >= 5 AND n_dup_lines > 0.4 * n_lines)) AS kept
+FROM m
+"""
+
+
 def op4_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
@@ -71,6 +102,7 @@ def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_planes": op2_token_planes,
+    "op3_quality_rules": op3_quality_rules,
     "op4_piece_bpe": op4_piece_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,
@@ -78,5 +110,6 @@ QUERIES = {
     "op8_url_templates": op8_url_templates,
 }
 SQL: dict[str, str] = {
+    "op3_quality_rules": QUALITY_SQL,
     "op7_warc_packages": PAGES_SQL,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillcast.llm.components import components
+from rillcast.llm.text_columns import bound, small_letters, spaced_words
 from rillcast.sources.staged import stage
 
 BITS = 64
@@ -17,18 +18,10 @@ PIVOTS = 16
 BLOCK_ROWS = 8192
 PAIR_ROWS = 12
 SHINGLE_ROWS = 1 << 19
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SPACES = " \t\n\x0b\x0c\r"
-
-
-def words(text: Column) -> Column:
-    """A-Z lower-cased words between ASCII white space; null has none."""
-    bare = F.btrim(F.translate(F.coalesce(text.cast("string"), F.lit("")), CAPITALS, CAPITALS.lower()), F.lit(SPACES))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[ \t-\r]+"))
 
 
 def shingle_hashes(text: Column, size: int) -> Column:
-    """XXH64 (seed 42) of every run of ``size`` words, joined by blanks; of all words if there are fewer."""
+    """XXH64 (seed 42) of every run of ``size`` words (A-Z lower-cased), joined by blanks; of all words if there are fewer."""
 
     def of(w: Column) -> Column:
         run = lambda i: F.xxhash64(F.concat_ws(" ", *(F.get(w, i + k) for k in range(size))))
@@ -39,8 +32,7 @@ def shingle_hashes(text: Column, size: int) -> Column:
             .otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - size), run))
         )
 
-    # The words are bound once: named inside the inner function they would be split again for every shingle.
-    return F.get(F.transform(F.array(words(text)), of), F.lit(0))
+    return bound(spaced_words(small_letters(text)), of)
 
 
 def majority(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
