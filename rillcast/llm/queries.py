@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillcast.llm.decontaminate import leaks
 from rillcast.llm.line_dedup import dedup_lines
 from rillcast.llm.piece_bpe import piece_digests
 from rillcast.llm.quality_rules import STOP_WORDS, quality_rules
@@ -101,6 +102,10 @@ def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, labels, RULES).drop("template", "purity")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("digest")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "lines.*", F.sha2("text", 256).alias("text_sha256"))
@@ -114,6 +119,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_warc_packages": op7_warc_packages,
     "op8_url_templates": op8_url_templates,
+    "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
 }
 SQL: dict[str, str] = {
