@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillcast.llm.decontaminate import leaks
 from rillcast.llm.line_dedup import dedup_lines
 from rillcast.llm.piece_bpe import piece_digests
+from rillcast.llm.pseudonyms import pseudonymise
 from rillcast.llm.quality_rules import STOP_WORDS, quality_rules
 from rillcast.llm.simhash import fingerprint_text, simhash_groups
 from rillcast.llm.token_counts import token_counts
@@ -24,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The key of the registered query; real runs bring their own.
+SAMPLE_KEY = b"registered query, not a secret"
+
+
+def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonymise(table(spark, sf_dir, "documents"), SAMPLE_KEY)
+    return found.select("doc_id", F.size("private").cast("long").alias("n_found"), "text")
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_planes(write_planes(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_MODEL)))
 
@@ -112,6 +122,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pseudonyms": op1_pseudonyms,
     "op2_token_planes": op2_token_planes,
     "op3_quality_rules": op3_quality_rules,
     "op4_piece_bpe": op4_piece_bpe,

@@ -1,0 +1,99 @@
+import datetime as dt
+import random
+import re
+
+import pytest
+
+from rillcast.llm.feistel import DIGITS, permuted, permuted_text, same_kind
+from rillcast.llm.pseudonyms import account, card, date, found_in, luhn_digit, pseudonymise, replaced, social
+
+KEY = b"a key of sixteen bytes or more"
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
+def test_permutations_and_their_inverse(n):
+    images = [permuted(x, n, KEY, "t") for x in range(n)]
+    assert sorted(images) == list(range(n))
+    assert [permuted(y, n, KEY, "t", back=True) for y in images] == list(range(n))
+    odd = [x for x in range(n) if x % 2]
+    assert sorted(permuted(x, n, KEY, "t", allowed=lambda y: y % 2 == 1) for x in odd) == odd
+
+
+def test_keys_kinds_and_formats():
+    assert permuted(5, 10**9, KEY, "a") != permuted(5, 10**9, KEY, "b") != permuted(5, 10**9, KEY[:-1], "a")
+    image = same_kind("Ab-9é.z" * 30, KEY, "x")
+    assert re.fullmatch(r"([A-Z][a-z]-[0-9]é\.[a-z]){30}", image) and same_kind(image, KEY, "x", back=True) == "Ab-9é.z" * 30
+    assert permuted_text("", [], KEY, "x") == "" and len(permuted_text("123", [DIGITS] * 3, KEY, "x")) == 3
+
+
+def iban(country, body):
+    digits = "".join(str(int(c, 36)) for c in body + country + "00")
+    return f"{country}{98 - int(digits) % 97:02d}{body}"
+
+
+def test_images_are_valid_and_come_back():
+    rng = random.Random(1)
+    for _ in range(300):
+        payload = str(rng.randrange(10**14, 10**15))
+        number = payload + luhn_digit(payload)
+        spaced = " ".join(number[i : i + 4] for i in range(0, 16, 4))
+        for form in (number, spaced):
+            image = card(form, KEY, False)
+            bare = image.replace(" ", "")
+            assert luhn_digit(bare[:-1]) == bare[-1] and len(image) == len(form) and card(image, KEY, True) == form
+        assert card(number, KEY, False) == card(spaced, KEY, False).replace(" ", "")
+        wrong = payload + str((int(number[-1]) + 1) % 10)
+        assert card(wrong, KEY, False) is None
+        day = dt.date.fromordinal(rng.randrange(dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal()))
+        for form in (day.isoformat(), f"{day:%d.%m.%Y}", f"{day:%m/%d/%Y}", f"{day.day}.{day.month}.{day.year}", f"{day.month}/{day.day}/{day.year}"):
+            assert date(date(form, KEY, False), KEY, True) == form
+        number = f"{rng.randrange(1, 666):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10_000):04d}"
+        assert social(social(number, KEY, False), KEY, True) == number
+        number = iban("DE", f"{rng.randrange(10**18):018d}")
+        image = account(number, KEY, False)
+        assert image != number and account(image, KEY, True) == number
+    assert date("2023-02-29", KEY, False) is None and date("31.04.2020", KEY, False) is None and date("1850-01-01", KEY, False) is None
+    assert social("000-12-1234", KEY, False) is None and account("DE00123456789012345678", KEY, False) is None
+
+
+TEXT = (
+    "Call +1 (375) 555-4393 or (212) 555-0100, mail an.na+x@mail6.example.com!! from 54.158.173.199, card 4111 1111 1111 1111 "
+    'or 4111111111111111, token = "e51a5499e3950eabef3742d6cf40b27b4e61a74a", PASSWORD!! =!! 9D0F82A1B2C3D4E5F6!! born 1980-02-29 or 3/4/1985, '
+    "id 123-45-6789, account DE89 3704 0044 0532 0130 00."
+)
+CLEAN = "Version 1.2.3.4.5, 300.1.2.3, sum 4111111111111112, 2023-02-30, x@y, a: b = c, +1 2, 12:30, part 99999-1, ratio=0.5, 1,234,567.89"
+
+
+def test_texts():
+    found = found_in(TEXT, KEY)
+    assert [f.kind for f in found] == ["phone", "phone", "mail", "address", "card", "card", "secret", "secret", "date", "date", "social", "account"]
+    hidden = replaced(TEXT, found)
+    for value in ("555-4393", "an.na+x@", "54.158.173.199", "4111", "e51a5499", "9D0F82A1", "1980-02-29", "3/4/1985", "123-45-6789", "3704 0044"):
+        assert value not in hidden
+    assert "@mail6.example.com!!" in hidden and hidden.startswith("Call +1 (")
+    assert replaced(hidden, found_in(hidden, KEY, back=True)) == TEXT
+    assert found_in(CLEAN, KEY) == []
+
+
+def test_documents(spark, odd_texts):
+    texts = [*odd_texts, TEXT, CLEAN, "again 4111111111111111", "x " * 50_000 + "4111111111111111"]
+    docs = spark.createDataFrame([(i, "n", t, i) for i, t in enumerate(texts)], "doc_id long, found string, text string, row int")
+    result = pseudonymise(docs, KEY)
+    assert result.columns == ["doc_id", "found", "text", "row", "private"]
+    got = {r.doc_id: r for r in result.collect()}
+    for i, t in enumerate(texts):
+        assert got[i].text == (replaced(t, found_in(t, KEY)) if t else t) and (got[i].found, got[i].row) == ("n", i)
+    n = len(odd_texts)
+    images = [got[i].text[p.start : p.end] for i in (n, n + 2, n + 3) for p in got[i].private if p.kind == "card"]
+    assert len(images) == 4 and len({x.replace(" ", "") for x in images}) == 1
+    back = {r.doc_id: r.text for r in pseudonymise(result.drop("private"), KEY, back=True).collect()}
+    assert back == dict(enumerate(texts))
+
+
+def test_repeats_null_ids_and_empty_table(spark):
+    docs = spark.createDataFrame([(None, "to a.b@c.org"), (1, None), (1, None)], "doc_id long, text string")
+    got = pseudonymise(docs, KEY).collect()
+    assert sorted((str(r.doc_id), len(r.private)) for r in got) == [("1", 0), ("1", 0), ("None", 1)]
+    assert pseudonymise(docs.limit(0), KEY).count() == 0
+    with pytest.raises(ValueError, match="key"):
+        pseudonymise(docs, b"short")
