@@ -24,14 +24,19 @@ NUMBERS = re.compile(
     r"|(?<![0-9][0-9])(?<=[0-9])(?P<iso>[0-9]{3}-[0-9]{2}-[0-9]{2})(?![0-9]|-[0-9])"
     r"|(?<![0-9./][0-9])(?<=[0-9])(?P<dmy>[0-9]?(?P<s>[./])[0-9]{1,2}(?P=s)[0-9]{4})(?![0-9])"
     r"|(?<![0-9-][0-9])(?<=[0-9])(?P<ssn>[0-9]{2}-[0-9]{2}-[0-9]{4})(?![0-9]|-[0-9])"
-    r"|(?<![0-9][0-9])(?<=[0-9])(?P<t1>[0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]|[ .-][0-9])"
-    r"|(?<![0-9][0-9])(?<=[0-9])(?P<card>(?:[ -]?[0-9]){12,18})(?![0-9]|[ -][0-9])"
+    r"|(?<![0-9][0-9])(?<=[0-9])(?P<t1>[0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]|[.-][0-9])"
+    r"|(?<![0-9][0-9])(?<=[0-9])(?P<card>[0-9]{12,18}|[0-9]{3}(?:[ -][0-9]{4}){3}|[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
     r")"
 )
 MAIL_END = re.compile(r"@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 MAIL_START = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
 SECRET_VALUE = re.compile(r"[=:]" + GAP + r"(?P<value>[A-Za-z0-9+/_-]{8,})")
 SECRET_NAME = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer)" + GAP + "$")
+# Openings of widely used access keys, which stay, and what follows them.
+KEYS = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)(?P<id>[A-Z0-9]{16})|gh[pousr]_(?P<hub>[A-Za-z0-9]{36})|xox[abprs]-(?P<chat>[A-Za-z0-9-]{10,})"
+    r"|AIza(?P<api>[A-Za-z0-9_-]{35})|sk-(?P<sk>[A-Za-z0-9_-]{20,}))(?![A-Za-z0-9])"
+)
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 
 
@@ -152,6 +157,9 @@ def found_in(text: str, key: bytes, back: bool = False) -> list[Found]:
         if SECRET_NAME.search(text, max(0, m.start() - 32), m.start()):
             a, b = m.span("value")
             take("secret", a, b, secret(text[a:b], key, back))
+    for m in KEYS.finditer(text):
+        a, b = m.span(m.lastgroup)
+        take("secret", a, b, same_kind(text[a:b], key, "key", back))
     for m in MAIL_END.finditer(text):
         if name := MAIL_START.search(text, max(0, m.start() - 64), m.start()):
             take("mail", name.start(), m.end(), same_kind(name[0], key, "mail", back) + m[0])
@@ -194,8 +202,8 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False, name: str = "p
 
     Card, account and social numbers, dates and addresses are replaced when
     they are valid, and their images are valid in the same format; phone
-    numbers, names in mail addresses and values of passwords and tokens are
-    replaced as they are written. The image depends on value, kind and key
+    numbers, names in mail addresses, access keys and values of passwords and
+    tokens are replaced as they are written. The image depends on value, kind and key
     alone: equal values stay linked across documents, and whoever holds the
     key gets them back with ``back``. Every image has its value's length, but
     for dates without zeros in front and addresses.
