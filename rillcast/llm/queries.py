@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,6 +133,7 @@ QUERIES = {
     "op8_url_templates": op8_url_templates,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY_SQL,

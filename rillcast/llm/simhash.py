@@ -50,7 +50,7 @@ def majority(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a long) of every whole text.
+    """doc_id, digest (of the text) and fp (the fingerprint's bits as a long) of every whole text.
 
     Hashes are made by Spark's own functions; only they go to the Arrow
     function that counts bits, in pieces of bounded size. Null and blank texts
@@ -62,10 +62,12 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             lists = batch.column("h")
             hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             found = majority(hashes, lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("digest"), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "fp"])
 
-    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingle_hashes(F.col("text"), size).alias("h"))
-    return hashed.mapInArrow(count, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), shingle_hashes(text, size).alias("h"))
+    return hashed.mapInArrow(count, "doc_id long, digest long, fp long")
 
 
 def band_masks(most: int, bands: int) -> list[int]:
@@ -202,7 +204,7 @@ def fingerprint_links(fps: DataFrame, most: int = 3, bands: int = 5, block_rows:
 
 
 def simhash_groups(docs: DataFrame, size: int = 3, most: int = 3, bands: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """doc_id, fp and component_id: the smallest doc_id that links of up to ``most`` bits reach.
+    """doc_id, digest, fp, root (the group's name) and component_id: the smallest doc_id that links of up to ``most`` bits reach.
 
     Equal fingerprints are one before anything is compared, so copies cost
     nothing and a hot group of them is only a count. Null doc_ids get their
@@ -215,8 +217,20 @@ def simhash_groups(docs: DataFrame, size: int = 3, most: int = 3, bands: int = 5
     roots = components(links)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = stage(rooted.join(least, "root").select("fp", "component_id"))
-    return found.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = stage(rooted.join(least, "root").select("fp", "root", "component_id"))
+    return found.join(names, "fp").select("doc_id", "digest", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, **settings) -> DataFrame:
+    """One document of every group, with its columns: the smallest doc_id (null last), of equal ids the smallest digest.
+
+    Rows equal in doc_id and text are one document; they stay or go together.
+    """
+    groups = simhash_groups(docs, **settings)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    first = stage(groups.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_first_id"), F.col("first.digest").alias("_first_digest")))
+    same = (F.xxhash64(docs["text"].cast("string")) == F.col("_first_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_first_id"))
+    return docs.join(first, same, "left_semi")
 
 
 def fingerprint_text(fp: Column) -> Column:

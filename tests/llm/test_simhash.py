@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from rillcast.llm.components import components
-from rillcast.llm.simhash import fingerprint_links, fingerprint_text, simhash_groups
+from rillcast.llm.simhash import fingerprint_links, fingerprint_text, one_of_each, simhash_groups
 
 
 def plain_fingerprint(text, size=3):
@@ -85,3 +85,4 @@ def test_null_ids_repeats_and_empty_table(spark):
     got = sorted((str(r.doc_id), r.fp == 0, r.component_id) for r in simhash_groups(docs).collect())
     assert got == [("7", True, 7), ("9", True, 7), ("9", True, 7), ("None", False, None), ("None", True, 7)]
     assert simhash_groups(docs.limit(0)).count() == 0
+    assert sorted((str(r.doc_id), r.text) for r in one_of_each(docs).collect()) == [("7", None), ("None", "only me here now")]
