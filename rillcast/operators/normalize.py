@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rillcast.functions.timeaxis import floor_div
 from rillcast.operators.scan import dense_ids, ranked
-from rillcast.sources.staged import stage
+from rillcast.sources.staged import per_key, stage
 
 
 @dataclass(frozen=True)
@@ -152,6 +152,21 @@ def attach(staging: DataFrame, table: DataFrame, dim: Dimension, how: str, by_na
     )
 
 
+# Every staging column that some dimension holds.
+META_COLUMNS = tuple(dict.fromkeys(c for d in (*PLAIN, VARIABLE) for c in d.columns.values()))
+
+
+def meta_digests() -> dict[str, Column]:
+    """Two digests, seeded apart, that name a row's metadata; which columns are null is part of them."""
+    absent = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in META_COLUMNS])
+    return {f"_m{k}": F.xxhash64(F.lit(k), absent, *META_COLUMNS) for k in (1, 2)}
+
+
+def metadata(staging: DataFrame) -> DataFrame:
+    """Distinct metadata of staging rows with their digests: a row or a few per file, made distinct before the shuffle."""
+    return staging.select(*META_COLUMNS).distinct().withColumns(meta_digests())
+
+
 def variable_members(
     staging: DataFrame, units: DataFrame, methods: DataFrame, by_name: bool = False
 ) -> DataFrame:
@@ -165,15 +180,16 @@ def variable_members(
     ).distinct()
 
 
-def facts(
-    staging: DataFrame, dims: Mapping[str, DataFrame], by_name: bool = False
-) -> DataFrame:
-    """Fact rows: unit, method, variable and site must match; the others may be absent.
+FACT_IDS = ("site_id", "variable_id", "owner_id", "qualifier_id", "processing_level_id")
 
-    With whole natural keys each staging row gives one fact row and lends it
-    its id; by name rows can multiply, so ids are numbered anew.
+
+def key_table(meta: DataFrame, dims: Mapping[str, DataFrame], by_name: bool = False) -> DataFrame:
+    """All keys of each metadata row: its digests and the fact's id columns.
+
+    Unit, method, variable and site must match; the others may be absent. By
+    name a metadata row can have several key rows.
     """
-    rows = attach(staging, dims["site"], SITE, "inner", by_name)
+    rows = attach(meta, dims["site"], SITE, "inner", by_name)
     rows = attach(rows, dims["unit"], UNIT, "inner", by_name)
     rows = attach(rows, dims["method"], METHOD, "inner", by_name)
     variable = dims["variable"]
@@ -189,34 +205,49 @@ def facts(
     rows = rows.join(variable, on).select(*[rows[c] for c in rows.columns], variable["variable_id"])
     for dim in (OWNER, QUALIFIER, PROCESSING_LEVEL):
         rows = attach(rows, dims[dim.name], dim, "left", by_name)
-    ids = ["site_id", "variable_id", "owner_id", "qualifier_id", "processing_level_id"]
+    return rows.select("_m1", "_m2", *FACT_IDS)
+
+
+def facts(
+    staging: DataFrame, dims: Mapping[str, DataFrame], by_name: bool = False, meta: DataFrame | None = None
+) -> DataFrame:
+    """Fact rows: one join of staging to the keys of its distinct metadata.
+
+    With whole natural keys each staging row gives one fact row and lends it
+    its id; by name rows can multiply, so ids are numbered anew (in blocks of a
+    million staging ids; the count of blocks is what one task orders).
+    """
+    keys = per_key(key_table(metadata(staging) if meta is None else meta, dims, by_name))
+    rows = staging.select("staging_id", "datetime_utc", "value", *[c.alias(n) for n, c in meta_digests().items()])
+    rows = rows.join(keys, ["_m1", "_m2"]).drop("_m1", "_m2")
     if by_name:
         rows = ranked(
-            rows, [], ["staging_id", "datetime_utc", "value", *ids], floor_div(F.col("staging_id"), 1 << 20), "datastream_id"
+            rows, [], ["staging_id", "datetime_utc", "value", *FACT_IDS], floor_div(F.col("staging_id"), 1 << 20), "datastream_id"
         )
         number = F.col("datastream_id").cast("long")
     else:
         number = F.col("staging_id").cast("long")
-    return rows.select(number.alias("datastream_id"), "datetime_utc", "value", *ids)
+    return rows.select(number.alias("datastream_id"), "datetime_utc", "value", *FACT_IDS)
 
 
 def normalize(staging: DataFrame, by_name: bool = False) -> dict[str, DataFrame]:
     """All tables of the star schema.
 
-    Each dimension reads its own columns of staging, is reduced to its members
-    on the map side and written once, so the fact joins see its size.
+    Staging is read twice: once for its distinct metadata, from which all
+    dimensions and keys are made, and once for the fact.
     """
+    meta = stage(metadata(staging))
     # Independent small jobs: run side by side.
     with ThreadPoolExecutor(max_workers=len(PLAIN)) as pool:
-        written = pool.map(lambda d: (d.name, stage(with_keys(members(staging, d), d))), PLAIN)
+        written = pool.map(lambda d: (d.name, stage(with_keys(members(meta, d), d))), PLAIN)
         out = dict(written)
     out["variable"] = stage(
         with_keys(
-            variable_members(staging, out["unit"], out["method"], by_name),
+            variable_members(meta, out["unit"], out["method"], by_name),
             VARIABLE, ("unit_id", "method_id"),
         )
     )
-    out["datastream"] = facts(staging, out, by_name)
+    out["datastream"] = facts(staging, out, by_name, meta)
     return out
 
 
