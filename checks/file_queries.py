@@ -35,16 +35,24 @@ def folder(spark, name):
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@check("staging_append", f"""WITH {STAGING} SELECT staging_id, site_code, variable_code, datetime_utc, value FROM staging
-  WHERE site_code = 'NATION_3'""")
+@check("staging_append", f"WITH {STAGING} SELECT staging_id, site_code, variable_code, datetime_utc, value FROM staging")
 def _(spark, sf_dir):
     path = folder(spark, "staging")
     rows = staging(spark, sf_dir)
-    # Two loads: one per line status.
-    for flag in ("F", "O"):
-        tb.append_staging(rows.where(F.col("processing_level_code") == flag), path)
-    columns = ["staging_id", "site_code", "variable_code", "datetime_utc", "value"]
-    return tb.scan(spark, path, columns, "site_code = 'NATION_3'")
+    # Two loads that together hold every row, whatever the line status.
+    first = F.coalesce(F.col("processing_level_code") == "F", F.lit(False))
+    for part in (first, ~first):
+        tb.append_staging(rows.where(part), path)
+    return tb.scan(spark, path, ["staging_id", "site_code", "variable_code", "datetime_utc", "value"])
+
+
+@check("staging_by_site", f"""WITH {STAGING} SELECT site_code, variable_code, count(*) AS n, sum(value) AS total FROM staging
+  WHERE site_code IN ('NATION_3', 'NATION_7') GROUP BY ALL""")
+def _(spark, sf_dir):
+    path = folder(spark, "staging")
+    tb.append_staging(staging(spark, sf_dir), path)
+    some = tb.scan(spark, path, ["site_code", "variable_code", "value"], "site_code IN ('NATION_3', 'NATION_7')")
+    return some.groupBy("site_code", "variable_code").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
 
 
 @check("facts_by_site", f"{STAR}, fact AS ({FACT}) SELECT site_id, variable_id, count(*) AS n, sum(value) AS total FROM fact "
@@ -104,9 +112,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = folder(spark, "csv")
     rows = stage(forecasts(spark, sf_dir))
-    # Two appends, as two stream batches would do.
-    for site in (2, 3):
-        tb.append_predictions_csv(rows.where(F.col("site_id") == site), path)
+    # Two appends, as two stream batches would do: odd and even source ids.
+    for odd in (0, 1):
+        tb.append_predictions_csv(rows.where(F.pmod("source_datastream_id", F.lit(2)) == odd), path)
     schema = rows.select(*live.CSV_COLUMNS).schema
     return spark.read.option("header", "true").schema(schema).csv(path).withColumn("prediction", r("prediction"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.inputs import (
+    FITTED,
     HOURLY,
     LINEAR,
     LIVE_HORIZONS,
@@ -12,14 +13,18 @@ from checks.inputs import (
     POINTS,
     REGISTRY,
     bounded_sql,
+    daily_split,
     live_registry,
     observations,
     season_name_sql,
+    table,
 )
 from checks.registry import check, r, rsql
 from rillcast.config import LIVE_TARGETS, Clip
 from rillcast.functions.timeaxis import on_grid
 from rillcast.operators import live
+from rillcast.operators.models import fit_linear, linear_registry
+from rillcast.operators.prep import usable_subsets
 from rillcast.sources.staged import stage
 
 TARGET_SQL = "CASE variable_code WHEN 'AirTemp' THEN 'air_temperature' WHEN 'Discharge' THEN 'discharge' END"
@@ -41,6 +46,15 @@ def _(spark, sf_dir):
     return live.new_events(facts.drop("variable_code"), variables(spark, sf_dir), 500, 250)
 
 
+# Replay of events chosen by their ids: all purchases.
+@check("replay_ids", f"""WITH {OBS} SELECT datastream_id, site_id, variable_id, variable_code, datetime_utc, value FROM obs
+  WHERE datastream_id IN (SELECT event_id FROM events WHERE event_type = 'purchase')""")
+def _(spark, sf_dir):
+    facts = events(spark, sf_dir).drop("variable_code")
+    wanted = table(spark, sf_dir, "events").where("event_type = 'purchase'").select(F.col("event_id").alias("datastream_id"))
+    return live.events_by_id(facts, variables(spark, sf_dir), wanted)
+
+
 @check("exact_hour", f"WITH {OBS} SELECT datastream_id, datetime_utc FROM obs WHERE {ON_HOUR}")
 def _(spark, sf_dir):
     return events(spark, sf_dir).where(on_grid("datetime_utc")).select("datastream_id", "datetime_utc")
@@ -262,11 +276,12 @@ def _(spark, sf_dir):
     return live.completeness(ids, forecasts(spark, sf_dir))
 
 
-@check("target_sites", f"WITH {REGISTRY} SELECT DISTINCT target_variable, CAST(site_id AS INTEGER) AS site_id, "
-       "CASE target_variable WHEN 'discharge' THEN 'Discharge' ELSE 'AirTemp' END AS variable_code "
-       "FROM registry SEMI JOIN (SELECT * FROM events) e ON true")
+# The registry is fitted from the data: targets and sites are those with enough samples.
+@check("target_sites", f"""WITH {FITTED} SELECT DISTINCT 'discharge' AS target_variable, site_id, 'Discharge' AS variable_code FROM fitted""")
 def _(spark, sf_dir):
-    return live.target_sites(live_registry(spark))
+    split = stage(usable_subsets(daily_split(spark, sf_dir)))
+    fitted = linear_registry(fit_linear(split.where("part = 'train'")))
+    return live.target_sites(fitted.withColumn("target_variable", F.lit("discharge")))
 
 
 NEXT_ROWS = f"""combos AS (SELECT DISTINCT target_variable, site_id, CASE target_variable WHEN 'discharge' THEN 'Discharge' ELSE 'AirTemp' END AS variable_code FROM registry),

@@ -120,6 +120,7 @@ def _(spark, sf_dir):
     )
 
 
+# Every lag counts by value and place, so neither a lost nor a moved value goes unseen; precipitation has missing ones.
 NEXT = f"""{WIDE},
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY datetime) - 1 AS idx,
@@ -127,25 +128,33 @@ numbered AS (
 hist AS (
   SELECT site_id, datetime, idx, discharge_o, f.feature, f.v AS value
   FROM numbered, LATERAL (VALUES ('discharge', discharge), ('air_temp', air_temp), ('snow_depth', snow_depth),
-    ('month', CAST(month AS DOUBLE)), ('hour', CAST(hour AS DOUBLE))) f(feature, v))
+    ('precipitation', precipitation), ('month', CAST(month AS DOUBLE)), ('hour', CAST(hour AS DOUBLE))) f(feature, v))
 SELECT site_id, datetime AS prediction_time, discharge_o AS target, feature,
-  {rsql("lag_sum", "lag_sum", 4)}, {rsql("oldest", "lag_oldest")}, {rsql("newest", "lag_newest")}
-FROM (SELECT *, sum(value) OVER w AS lag_sum, first_value(value) OVER w AS oldest, last_value(value) OVER w AS newest
+  {rsql("coalesce(total, 0)", "lag_sum", 4)}, {rsql("coalesce(placed, 0) - (idx - 169) * coalesce(total, 0)", "lag_places", 3)}, n AS lag_count,
+  CAST(coalesce(absent, 0) - (idx - 169) * (168 - n) AS BIGINT) AS absent_places, {rsql("oldest", "lag_oldest")}, {rsql("newest", "lag_newest")}
+FROM (SELECT *, sum(value) OVER w AS total, sum(value * idx) OVER w AS placed, count(value) OVER w AS n,
+        sum(CASE WHEN value IS NULL THEN idx END) OVER w AS absent, first_value(value) OVER w AS oldest, last_value(value) OVER w AS newest
       FROM hist WINDOW w AS (PARTITION BY site_id, feature ORDER BY idx ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING))
 WHERE idx >= 168 AND discharge_o IS NOT NULL"""
 
 
 @check("next_hour_samples", f"WITH {NEXT}")
 def _(spark, sf_dir):
-    names = ["discharge", "air_temp", "snow_depth", "month", "hour"]
+    names = ["discharge", "air_temp", "snow_depth", "precipitation", "month", "hour"]
     rows = regular_blocks(observations(spark, sf_dir), DISCHARGE, HOURLY, before=168)
     at = tick_time("tick", HOURLY)
     rows = rows.withColumns({"month": F.month(at).cast("double"), "hour": F.hour(at).cast("double")})
     wide = lag_table(rows, names, "discharge", HOURLY, 168)
     lags = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"{n}_lags").alias("v")) for n in names])
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+    placed = F.transform("v", lambda x, i: x * (i + 1))
+    absent = F.transform("v", lambda x, i: F.when(x.isNull(), (i + 1).cast("double")))
     return wide.select("site_id", "prediction_time", "target", F.inline(lags)).select(
         "site_id", "prediction_time", "target", "feature",
-        r(F.aggregate("v", F.lit(0.0), lambda s, x: s + x), 4).alias("lag_sum"),
+        r(total("v"), 4).alias("lag_sum"),
+        r(total(placed), 3).alias("lag_places"),
+        F.size(F.filter("v", lambda x: x.isNotNull())).cast("long").alias("lag_count"),
+        total(absent).cast("long").alias("absent_places"),
         r(F.element_at("v", 1)).alias("lag_oldest"),
         r(F.element_at("v", -1)).alias("lag_newest"),
     )

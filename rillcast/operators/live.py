@@ -92,13 +92,13 @@ def new_events(facts: DataFrame, variables: DataFrame, after_id: int, limit: int
     )
 
 
-def events_by_id(facts: DataFrame, variables: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """Chosen events for a replay."""
-    return (
-        facts.where(F.col("datastream_id").isin(list(ids)))
-        .join(variables.select("variable_id", "variable_code"), "variable_id")
-        .select(*EVENT_COLUMNS)
-    )
+def events_by_id(facts: DataFrame, variables: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
+    """Chosen events for a replay: a short list of ids, or a table with ``datastream_id``."""
+    if isinstance(ids, DataFrame):
+        chosen = facts.join(ids.select("datastream_id"), "datastream_id", "left_semi")
+    else:
+        chosen = facts.where(F.col("datastream_id").isin(list(ids)))
+    return chosen.join(variables.select("variable_id", "variable_code"), "variable_id").select(*EVENT_COLUMNS)
 
 
 def to_payload(events: DataFrame) -> DataFrame:

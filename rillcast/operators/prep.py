@@ -16,6 +16,9 @@ from rillcast.sources.staged import per_key
 TIME_COLUMNS = ("history_end_time", "forecast_start_time", "forecast_end_time")
 VERSION_COLUMNS = ("source_version", "dataset_version", "data_version", "version")
 
+# How many groups an error message names besides their number.
+NAMED_GROUPS = 20
+
 
 def time_problems(df: DataFrame) -> DataFrame:
     """One row: how many rows have an unusable value in each time column."""
@@ -131,11 +134,11 @@ def require_both_parts(split: DataFrame, keys: Sequence[str] = ("site_id",)) ->
             F.count_if(F.col("part") == "validation").alias("n_validation"),
         )
         .where((F.col("n_train") == 0) | (F.col("n_validation") == 0))
-        .limit(20)
-        .collect()
     )
-    if lacking:
-        raise ValueError(f"empty train or validation part: {[r.asDict() for r in lacking]}")
+    total, named = lacking.count(), lacking.limit(NAMED_GROUPS).collect()
+    if total:
+        shown = [r.asDict() for r in named]
+        raise ValueError(f"empty train or validation part in {total} groups, of which the first {len(shown)}: {shown}")
     return split
 
 

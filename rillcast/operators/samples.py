@@ -16,6 +16,7 @@ from rillcast.functions.timeaxis import (
     tick_time,
 )
 from rillcast.operators.scan import halo, ranked
+from rillcast.sources.staged import per_key
 
 BLOCK_KEYS = ("site_id", "block")
 
@@ -82,10 +83,16 @@ def _first_tick(date: Column, grid: Grid) -> Column:
 
 
 def stride_positions(ranges: DataFrame, keys: Sequence[str], grid: Grid, spec: SampleSpec) -> DataFrame:
-    """Every visited forecast start of each series, from its range alone."""
+    """Every visited forecast start of each series, from its range alone, a block of ticks at a time."""
     stride, lands = stride_columns(F.col("tick"), F.col("lo"), grid, spec)
+    block = F.col("_block")
+    blocks = ranges.withColumn(
+        "_block", F.explode(F.sequence(floor_div(F.col("lo"), grid.block), floor_div(F.col("hi"), grid.block)))
+    )
+    ends = F.greatest(F.col("lo"), block * grid.block), F.least(F.col("hi"), (block + 1) * grid.block - 1)
     return (
-        ranges.withColumn("tick", F.explode(F.sequence("lo", "hi")))
+        blocks.withColumn("tick", F.explode(F.sequence(*ends)))
+        .drop("_block")
         .withColumns({"stride": stride, "lands": lands})
         .where(F.col("lands") & (F.col("tick") <= F.col("hi") - F.lit(spec.horizons - 1)))
         .drop("lands")
@@ -208,7 +215,7 @@ def samples_of_table(
     missing = [f"{f.name}_missing_raw" for f in target.features]
     exact = Grid(grid.step, "end", grid.block)
     rows = table.withColumn("tick", tick_of("datetime", exact))
-    ranges = rows.groupBy("site_id").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi"))
+    ranges = per_key(rows.groupBy("site_id").agg(F.min("tick").alias("lo"), F.max("tick").alias("hi")))
     back, ahead = reach_back(spec, context), spec.horizons - 1
     haloed = halo(rows.join(ranges, "site_id"), "tick", grid.block, back, ahead)
     return sample_blocks(haloed, main, missing, grid, spec, context)
@@ -218,21 +225,31 @@ def lag_table(rows: DataFrame, columns: Sequence[str], target: str, grid: Grid,
     """Next-step layout: ``lags`` past values of many columns and one target.
 
     Kept when the whole history lies in the grid and the target was observed.
+    Missing values keep their place. All columns of a block form one array, cut
+    for kept rows only.
     """
-    w = block_window().rowsBetween(-lags, -1)
-    return (
-        rows.withColumns({f"{c}_lags": F.collect_list(c).over(w) for c in columns})
-        .where(
-            F.col("core")
-            & (F.col("tick") >= F.col("lo") + F.lit(lags))
-            & F.col(f"{target}_observed").isNotNull()
-        )
-        .select(
-            "site_id",
-            tick_time("tick", grid).alias("prediction_time"),
-            F.col(f"{target}_observed").alias("target"),
-            *[f"{c}_lags" for c in columns],
-        )
+    w = block_window()
+    kept = (
+        F.col("core")
+        & (F.col("tick") >= F.col("lo") + F.lit(lags))
+        & (F.col("_position") > F.lit(lags))
+        & F.col(f"{target}_observed").isNotNull()
+    )
+    cells = F.array_sort(F.collect_list(F.struct("_position", *[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])))
+    ends = F.struct("tick", "_position", F.col(f"{target}_observed").alias("target"))
+    blocks = (
+        rows.withColumn("_position", F.row_number().over(w))
+        .groupBy(*BLOCK_KEYS)
+        .agg(cells.alias("_cells"), F.collect_list(F.when(kept, ends)).alias("_kept"))
+    )
+    arrays = [F.col("_cells")[f"_{i}"].alias(f"_{i}") for i in range(len(columns))]
+    ready = blocks.select("site_id", *arrays, F.explode("_kept").alias("_end"))
+    first = F.col("_end._position") - F.lit(lags)
+    return ready.select(
+        "site_id",
+        tick_time("_end.tick", grid).alias("prediction_time"),
+        F.col("_end.target").alias("target"),
+        *[F.slice(f"_{i}", first, lags).alias(f"{c}_lags") for i, c in enumerate(columns)],
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rillcast.config import Target
 from rillcast.operators.live import CSV_COLUMNS, PREDICTION_KEY
 from rillcast.operators.samples import from_columns, to_columns
+from rillcast.sources.staged import stage
 
 METRIC_SCHEMA = (
     "site_id int, season string, rmse double, mae double, persistence_rmse double, "
@@ -51,8 +52,19 @@ def jdbc_scan(
 
 
 def append_staging(rows: DataFrame, path: str) -> None:
-    """Append one load to the staging table, laid out for series and time filters."""
-    rows.withColumn("loaded_at", F.localtimestamp()).write.mode("append").parquet(path)
+    """Append one load to the staging table, by site and sorted by variable and time.
+
+    Site filters prune folders, variable and time filters row groups. The
+    rebalance splits a hot site and joins small ones.
+    """
+    (
+        rows.withColumn("loaded_at", F.localtimestamp())
+        .hint("rebalance", F.col("site_code"))
+        .sortWithinPartitions("site_code", "variable_code", "datetime_utc")
+        .write.mode("append")
+        .partitionBy("site_code")
+        .parquet(path)
+    )
 
 
 def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -74,8 +86,14 @@ def write_facts(facts: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_training(
     samples: DataFrame, target: Target, path: str, lags: int, horizons: int, mode: str = "overwrite"
 ) -> None:
-    """Training files with named lag and target columns, one folder per site; fails when empty."""
-    wide = to_columns(samples, target.main.name, lags, horizons)
+    """Training files with named lag and target columns, one folder per site.
+
+    The samples are staged and checked first: an empty build fails and leaves
+    the files of the last one as they are.
+    """
+    wide = stage(to_columns(samples, target.main.name, lags, horizons))
+    if wide.isEmpty():
+        raise ValueError(f"no {target.name} samples to write to {path}")
     # The rebalance splits a large site over several tasks and files.
     (
         wide.hint("rebalance", F.col("site_id"))
@@ -83,8 +101,6 @@ def write_training(
         .partitionBy("site_id")
         .parquet(path)
     )
-    if samples.sparkSession.read.schema(wide.schema).parquet(path).isEmpty():
-        raise ValueError(f"no {target.name} samples were written to {path}")
 
 
 def audit(df: DataFrame, keys: Sequence[str] = ("site_id",)) -> DataFrame:
