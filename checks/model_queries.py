@@ -254,34 +254,32 @@ def _design(spark, sf_dir):
     return prep.design_vector(prep.with_time_features(_scaled(spark, sf_dir), L, DAILY))
 
 
-_TIME_SUM = " + ".join(
-    f"list_sum([{e.replace('(t)', '(history_end_time - CAST(k AS INTEGER) * INTERVAL 1 DAY)')} FOR k IN range(0, 28)])"
-    for e in _TF.values()
-)
+def _step_features(k):
+    """Time features of the step ``k`` days before the newest, as an SQL list."""
+    return "[" + ", ".join(e.replace("(t)", f"(history_end_time - CAST({k} AS INTEGER) * INTERVAL 1 DAY)") for e in _TF.values()) + "]"
 
 
-@check("design_matrix", f"""WITH {SCALED} SELECT site_id, forecast_start_time, CAST(28 + 28 * 11 + 1 AS INTEGER) AS width,
-  {rsql(f"list_sum([(v - lm) / ls FOR v IN lags]) + {_TIME_SUM} + (static_month - sm) / ss", "total", 4)},
-  {rsql("(lags[28] - lm) / ls", "newest_lag")}, {rsql("(static_month - sm) / ss", "last")}
-FROM statics JOIN sc USING (site_id)""")
+# Every cell with its place: features in another order would not pass.
+@check("design_matrix", f"""WITH {SCALED},
+flat AS (SELECT site_id, forecast_start_time, list_concat([(v - lm) / ls FOR v IN lags],
+    flatten([{_step_features("k")} FOR k IN range(27, -1, -1)]), [(static_month - sm) / ss]) AS cells
+  FROM statics JOIN sc USING (site_id))
+SELECT site_id, forecast_start_time, CAST(i AS INTEGER) AS place, {rsql("cells[i]", "value")} FROM flat, range(1, {28 + 28 * 11 + 2}) t(i)""")
 def _(spark, sf_dir):
-    return _design(spark, sf_dir).select(
-        *KEYS, F.size("features").alias("width"),
-        r(F.aggregate("features", F.lit(0.0), lambda s, x: s + x), 4).alias("total"),
-        r(F.element_at("features", L)).alias("newest_lag"),
-        r(F.element_at("features", -1)).alias("last"),
-    )
+    cells = _design(spark, sf_dir).select(*KEYS, F.posexplode("features").alias("i", "v"))
+    return cells.select(*KEYS, (F.col("i") + 1).alias("place"), r("v").alias("value"))
 
 
-@check("sequence_matrix", f"""WITH {SCALED} SELECT site_id, forecast_start_time, CAST(28 AS INTEGER) AS steps, CAST(13 AS INTEGER) AS width,
-  {rsql("(lags[28] - lm) / ls", "newest_lag")}, {rsql("(static_month - sm) / ss", "static_month")}
-FROM statics JOIN sc USING (site_id)""")
+@check("sequence_matrix", f"""WITH {SCALED},
+flat AS (SELECT site_id, forecast_start_time, k AS step, list_concat([(lags[28 - k] - lm) / ls], {_step_features("k")}, [(static_month - sm) / ss]) AS cells
+  FROM statics JOIN sc USING (site_id), range(0, 28) t(k))
+SELECT site_id, forecast_start_time, CAST(28 - step AS INTEGER) AS step, CAST(i AS INTEGER) AS place, {rsql("cells[i]", "value")}
+FROM flat, range(1, 14) u(i)""")
 def _(spark, sf_dir):
     s = prep.sequence_matrix(prep.with_time_features(_scaled(spark, sf_dir), L, DAILY))
-    last = F.element_at("sequence", -1)
-    return s.select(
-        *KEYS, F.size("sequence").alias("steps"), F.size(last).alias("width"),
-        r(F.element_at(last, 1)).alias("newest_lag"), r(F.element_at(last, -1)).alias("static_month"),
+    steps = s.select(*KEYS, F.posexplode("sequence").alias("k", "cells"))
+    return steps.select(*KEYS, (F.col("k") + 1).alias("step"), F.posexplode("cells").alias("i", "v")).select(
+        *KEYS, "step", (F.col("i") + 1).alias("place"), r("v").alias("value")
     )
 
 
@@ -325,13 +323,52 @@ def _(spark, sf_dir):
     )
 
 
-@check("gbt_fit")
-def _(spark, sf_dir):
-    horizons = (1, H)
-    data = stage(_design(spark, sf_dir))
-    fitted = models.fit_boosted(data.where("part = 'train'"), horizons, (3, 4), trees=5, depth=3)
-    scored = models.score_boosted(data.where("part = 'validation'"), fitted, horizons)
-    return ev.generic_metrics(ev.expand(scored, DAILY, "start", strict=False), ("site_id", "season"))
+# A fit can't be repeated in SQL; what must hold can: every validation sample is forecast at every horizon, at its own
+# target time, with finite values no further from the step before than the clip allows.
+@check("gbt_fit", f"""WITH {FITTED} SELECT site_id, season_name, CAST(h AS INTEGER) AS horizon, count(*) AS n,
+  min(forecast_start_time + (h - 1) * INTERVAL 1 DAY) AS first_target, count(*) AS n_finite, count(*) AS n_in_reach
+FROM split SEMI JOIN usable USING (site_id, season_name), range(1, 8) t(h) WHERE part = 'validation' GROUP BY ALL""")
+def _(spark, sf_dir):
+    horizons = range(1, H + 1)
+    data = stage(prep.usable_subsets(_design(spark, sf_dir)))
+    model = models.fit_boosted(data.where("part = 'train'"), horizons)
+    scored = models.score_boosted(data.where("part = 'validation'"), model, horizons)
+    before = F.concat(F.array(newest()), F.slice("y_pred", 1, H - 1))
+    clip = Clip()
+    room = F.zip_with("y_pred", before, lambda y, b: F.abs(y - b) <= 1e-9 + F.greatest(
+        F.lit(clip.floor), clip.pct * F.abs(b), clip.multiplier * largest_step()))
+    scored = scored.withColumn("season_name", F.col("season_name")).withColumn("_room", room)
+    long = scored.select(*KEYS, "season_name", F.posexplode(F.arrays_zip("y_pred", "y_true", "_room")).alias("_i", "v")).select(
+        *KEYS, "season_name", (F.col("_i") + 1).alias("horizon"), "v.*")
+    expanded = ev.expand(scored, DAILY, "start", strict=False, horizons=list(horizons)).select(*KEYS, "horizon", "target_timestamp")
+    return long.join(expanded, [*KEYS, "horizon"]).groupBy("site_id", "season_name", "horizon").agg(
+        F.count(F.lit(1)).alias("n"), F.min("target_timestamp").alias("first_target"),
+        F.count_if(F.col("y_pred").isNotNull() & ~F.isnan("y_pred") & (F.abs("y_pred") < 1e300)).alias("n_finite"),
+        F.count_if("_room").alias("n_in_reach"),
+    )
+
+
+# One tree of one split without sampling has an exact best split: month, site or horizon, by least squares.
+@check("gbt_stump", f"""WITH {FITTED},
+cases AS (SELECT CAST(month(forecast_start_time) AS DOUBLE) AS month, CAST(site_id AS DOUBLE) AS site, CAST(h AS DOUBLE) AS horizon,
+    targets[h] - base AS y FROM split SEMI JOIN usable USING (site_id, season_name), range(1, 8) t(h) WHERE part = 'train'),
+cells AS (SELECT month, site, horizon, f.feature, f.x, y FROM cases, LATERAL (VALUES ('month', month), ('site', site), ('horizon', horizon)) f(feature, x)),
+cuts AS (SELECT DISTINCT feature, x AS cut FROM cells),
+scores AS (
+  SELECT feature, cut, count(*) FILTER (WHERE x <= cut) AS nl, count(*) FILTER (WHERE x > cut) AS nr,
+         sum(y) FILTER (WHERE x <= cut) AS sl, sum(y) FILTER (WHERE x > cut) AS sr
+  FROM cells JOIN cuts USING (feature) GROUP BY ALL HAVING count(*) FILTER (WHERE x > cut) > 0),
+best AS (SELECT * FROM scores ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)
+SELECT DISTINCT month, site, horizon, {rsql("CASE WHEN x <= cut THEN sl / nl ELSE sr / nr END", "prediction")} FROM cells JOIN best USING (feature)""")
+def _(spark, sf_dir):
+    split = stage(prep.usable_subsets(daily_split(spark, sf_dir)).withColumns(
+        {"months": F.array(F.month("forecast_start_time").cast("double")), "d": deltas()}))
+    train = split.where("part = 'train'")
+    model = models.fit_boosted(train, range(1, H + 1), trees=1, depth=1, subsample=1.0, label="d", features="months")
+    cases = models.pooled_rows(train, range(1, H + 1), "months").select(
+        F.element_at("months", 1).alias("month"), F.col("site_id").cast("double").alias("site"),
+        F.col("horizon").cast("double").alias("horizon"), "_vector").distinct()
+    return model.transform(cases).select("month", "site", "horizon", r("prediction").alias("prediction"))
 
 
 @check("run_summary", f"""WITH {PREDICTED} SELECT site_id, train_rows, validation_rows, validation_start, validation_end,

@@ -51,11 +51,13 @@ META = """site_id, forecast_start_time - INTERVAL 1 {u} AS history_end_time, for
 
 
 def _digest(df):
-    """Arrays as sums and ends, so a sample stays one row."""
+    """Arrays as sums, sums weighted by place, and ends, so a sample stays one row."""
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
     return df.withColumns(
         {
             "lag_sum": r(total("lags"), 4),
+            "lag_places": r(total(F.transform("lags", lambda x, i: x * (i + 1))), 3),
+            "target_places": r(total(F.transform("targets", lambda x, i: x * (i + 1))), 3),
             "lag_oldest": r(F.element_at("lags", 1)),
             "lag_newest": r(F.element_at("lags", -1)),
             "n_lags": F.size("lags"),
@@ -67,7 +69,8 @@ def _digest(df):
     ).drop("lags", "targets")
 
 
-DIGEST = f"""{rsql("list_sum(lags)", "lag_sum", 4)}, {rsql("lags[1]", "lag_oldest")}, {rsql("lags[-1]", "lag_newest")},
+DIGEST = f"""{rsql("list_sum([lags[i] * i FOR i IN range(1, len(lags) + 1)])", "lag_places", 3)},
+  {rsql("list_sum([targets[i] * i FOR i IN range(1, len(targets) + 1)])", "target_places", 3)}, {rsql("list_sum(lags)", "lag_sum", 4)}, {rsql("lags[1]", "lag_oldest")}, {rsql("lags[-1]", "lag_newest")},
   CAST(len(lags) AS INTEGER) AS n_lags, {rsql("list_sum(targets)", "target_sum", 4)}, {rsql("targets[1]", "target_first")},
   {rsql("targets[-1]", "target_last")}, CAST(len(targets) AS INTEGER) AS n_targets"""
 

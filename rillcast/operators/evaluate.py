@@ -39,8 +39,9 @@ def expand(
     season_by: str = "target",
     extra: Sequence[str] = (),
     strict: bool = True,
+    horizons: Sequence[int] | None = None,
 ) -> DataFrame:
-    """One row per sample and horizon.
+    """One row per sample and horizon; ``horizons`` names the steps where they aren't 1, 2, ...
 
     ``season_by`` "target" names the season of the target time, "start" keeps
     the season of the model (``season_name``).
@@ -55,10 +56,9 @@ def expand(
         F.posexplode(F.arrays_zip(*VALUES)).alias("_pos", "_v"),
     ).withColumns(
         {
-            "horizon": F.col("_pos") + 1,
-            "target_timestamp": shift("forecast_start_time", F.col("_pos"), grid),
+            "horizon": F.col("_pos") + 1 if horizons is None else F.get(F.array(*[F.lit(h) for h in horizons]), "_pos"),
         }
-    )
+    ).withColumn("target_timestamp", shift("forecast_start_time", F.col("horizon") - 1, grid))
     season = season_name(F.month("target_timestamp")) if season_by == "target" else F.col("season_name")
     return long.select(
         *extra,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
@@ -112,62 +111,52 @@ def score_with(
     return with_forecasts(scored, F.col("_deltas"), clip, horizons).drop("_deltas")
 
 
+def pooled_rows(df: DataFrame, horizons: Sequence[int], features: str = "features") -> DataFrame:
+    """One row per sample and horizon; site and horizon are features behind the others."""
+    wide = F.concat(F.col(features), F.array(F.col("site_id").cast("double"), F.col("horizon").cast("double")))
+    return df.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons]))).withColumn(
+        "_vector", array_to_vector(wide)
+    )
+
+
 def fit_boosted(
     train: DataFrame,
     horizons: Sequence[int],
-    site_ids: Sequence[int],
     trees: int = 100,
     depth: int = 5,
     rate: float = 0.1,
     subsample: float = 0.8,
     seed: int = 42,
-    parallel: int = 4,
-) -> dict[tuple[int, int], object]:
-    """One boosted-tree model per site and horizon on the flat feature vector.
+    label: str = "scaled_deltas",
+    features: str = "features",
+):
+    """Boosted trees for all sites and horizons: one distributed fit, however many there are.
 
-    Each fit is a distributed job; a few run at once so small sites do not
-    leave the cluster idle.
+    Trees split on site and horizon like on any feature, so the plan doesn't
+    grow with either and a site with few samples still gets forecasts.
     """
-    data = train.select(
-        "site_id", array_to_vector("features").alias("features"), F.col("scaled_deltas")
+    rows = pooled_rows(train, horizons, features).select("_vector", F.element_at(label, F.col("horizon")).alias("label"))
+    learner = GBTRegressor(
+        featuresCol="_vector", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=rate,
+        subsamplingRate=subsample, seed=seed,
     )
-
-    def fit(job):
-        site, h = job
-        learner = GBTRegressor(
-            featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth,
-            stepSize=rate, subsamplingRate=subsample, seed=seed,
-        )
-        rows = data.where(F.col("site_id") == site).withColumn(
-            "label", F.element_at("scaled_deltas", h)
-        )
-        return job, learner.fit(rows)
-
-    jobs = [(s, h) for s in site_ids for h in horizons]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return dict(pool.map(fit, jobs))
+    return learner.fit(rows)
 
 
 def score_boosted(
-    df: DataFrame, models: dict[tuple[int, int], object], horizons: Sequence[int], clip: Clip = Clip()
+    df: DataFrame, model, horizons: Sequence[int], clip: Clip = Clip(), keys: Sequence[str] = ("site_id", "forecast_start_time")
 ) -> DataFrame:
-    """Forecasts of all sites by their own models, in horizon order."""
-    sites = sorted({s for s, _ in models})
-    data = df.withColumn("_vector", array_to_vector("features"))
-    parts = []
-    for site in sites:
-        part = data.where(F.col("site_id") == site)
-        for h in horizons:
-            model = models[(site, h)].copy()
-            model.setFeaturesCol("_vector").setPredictionCol(f"_d{h}")
-            part = model.transform(part)
-        parts.append(part)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    raw = F.array(*[F.col(f"_d{h}") for h in horizons])
-    back = F.transform(raw, lambda x: x * F.col("delta_scale") + F.col("delta_mean"))
-    wanted = F.array(*[F.element_at("targets", h) for h in horizons])
-    return with_forecasts(out.withColumn("targets", wanted), back, clip, len(horizons)).drop(
-        "_vector", *[f"_d{h}" for h in horizons]
-    )
+    """Forecasts of every sample, in horizon order; ``keys`` name a sample.
+
+    The clip limits each step by the one before, so it needs horizons without
+    a gap; others are refused unless it is off.
+    """
+    if clip.enabled and list(horizons) != list(range(1, len(horizons) + 1)):
+        raise ValueError("clipping needs the horizons 1, 2, ... without a gap")
+    long = model.transform(pooled_rows(df, horizons).select(*keys, "horizon", "_vector"))
+    # At most one row per horizon and sample.
+    scored = long.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("horizon", "prediction"))).alias("_p"))
+    joined = df.join(scored, list(keys))
+    back = F.transform("_p", lambda p: p["prediction"] * F.col("delta_scale") + F.col("delta_mean"))
+    wanted = F.array(*[F.element_at("targets", h) for h in sorted(horizons)])
+    return with_forecasts(joined.withColumn("targets", wanted), back, clip, len(horizons)).drop("_p")
