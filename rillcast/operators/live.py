@@ -40,6 +40,7 @@ from rillcast.operators.regular import (
     ticks,
 )
 from rillcast.operators.scan import dense_ids, literal_rows, next_point, sized
+from rillcast.sources.staged import per_key, stage
 
 EVENT_COLUMNS = ("datastream_id", "site_id", "variable_id", "variable_code", "datetime_utc", "value")
 PAYLOAD = (
@@ -146,7 +147,8 @@ def gate(events: DataFrame, facts: DataFrame, registry: DataFrame, grid: Grid =
     judged = newer_than_others(with_target(forecast_season(events, grid)), facts)
     return route(judged, registry).withColumn(
         "reason",
-        F.when(~on_grid("datetime_utc", grid), F.lit("not_exact_hour"))
+        F.when(F.col("datetime_utc").isNull(), F.lit("no_time"))
+        .when(~on_grid("datetime_utc", grid), F.lit("not_exact_hour"))
         .when(F.col("target_variable").isNull(), F.lit("no_target"))
         .when(~F.col("is_newest"), F.lit("not_newer"))
         .when(F.col("model_path").isNull(), F.lit("no_model"))
@@ -163,7 +165,11 @@ def reason_counts(judged: DataFrame) -> DataFrame:
 def requests(
     accepted: DataFrame, lags: int, grid: Grid = Grid(), contexts: Mapping[str, Sequence[Context]] = CONTEXTS
 ) -> DataFrame:
-    """Which ticks of which series each event needs: ``datastream_id, feature, site, code, lo, hi``."""
+    """Which ticks of which series are needed: ``datastream_id, feature, site, code, lo, hi``.
+
+    Lags are an event's own. A context depends on its feature and the hour
+    alone: it is asked for once, with the hour's tick in place of the id.
+    """
     rows = [(t, c.name, c.site_id, c.variable_code, c.window) for t, cs in contexts.items() for c in cs]
     spark = accepted.sparkSession
     events = accepted.select(
@@ -182,10 +188,10 @@ def requests(
         ),
         len(rows),
     )
-    support = events.drop("site_id", "variable_code").join(table, "target_variable").select(
-        "datastream_id", "feature", "site_id", "variable_code",
+    support = events.select("target_variable", "hi").distinct().join(table, "target_variable").select(
+        F.col("hi").alias("datastream_id"), "feature", "site_id", "variable_code",
         (F.col("hi") - F.col("window") + 1).alias("lo"), "hi",
-    )
+    ).distinct()
     return own.unionByName(support)
 
 
@@ -265,7 +271,11 @@ def event_features(
         aggs.append(F.when(F.count(v) >= c.least, number).alias(name))
         if c.reduce == "last":
             aggs[-1] = number.alias(name)
-    found = cells.groupBy("datastream_id").agg(*aggs)
+    # One row per event and one per hour with contexts, written once for both joins.
+    found = stage(cells.groupBy("datastream_id", is_lag.alias("_own")).agg(*aggs))
+    own = found.where("_own").select("datastream_id", "_lags", "_n_lags", "longest_gap")
+    hours = per_key(found.where("NOT _own").select(F.col("datastream_id").alias("_hour"), *every))
+    wanted = {n: [t for t, cs in contexts.items() if n in {c.name for c in cs}] for n in every}
     lost = F.lit(None).cast("string")
     for target, cs in contexts.items():
         for c in reversed(cs):
@@ -274,7 +284,10 @@ def event_features(
             ).otherwise(lost)
     start = F.col("forecast_start_time")
     out = (
-        accepted.join(found, "datastream_id")
+        accepted.join(own, "datastream_id")
+        .withColumn("_hour", tick_of("datetime_utc", grid))
+        .join(hours, "_hour", "left")
+        .withColumns({n: F.when(F.col("target_variable").isin(ts), F.col(n)) for n, ts in wanted.items()})
         .withColumn("lags", F.col("_lags.v"))
         .withColumn(
             "failure",
@@ -291,7 +304,7 @@ def event_features(
         )
     )
     return out.withColumns({n: c for n, c in calendar(start).items() if n != "season"}).drop(
-        "_lags", "_n_lags"
+        "_lags", "_n_lags", "_hour"
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillcast.config import Target
-from rillcast.operators.live import CSV_COLUMNS, PREDICTION_KEY
+from rillcast.operators.live import CSV_COLUMNS, PREDICTION_KEY, upsert
 from rillcast.operators.samples import from_columns, to_columns
 from rillcast.sources.staged import stage
 
@@ -143,6 +143,11 @@ def append_predictions_csv(rows: DataFrame, path: str) -> None:
     rows.select(*CSV_COLUMNS).write.mode("append").option("header", "true").csv(path)
 
 
+def write_predictions_csv(rows: DataFrame, path: str) -> None:
+    """The CSV copy of one batch, replacing what an earlier attempt left."""
+    rows.select(*CSV_COLUMNS).write.mode("overwrite").option("header", "true").csv(path)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").partitionBy(*partition_by).json(path)
 
@@ -203,6 +208,29 @@ def current_predictions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def upsert_predictions(incoming: DataFrame, path: str) -> None:
+    """Write predictions into a table kept by day of their history's end; the latest write per key wins.
+
+    Only days that the incoming rows touch are read and replaced, so a write
+    costs what its days hold and no compaction is needed.
+    """
+    spark = incoming.sparkSession
+    fresh = stage(incoming.withColumn("day", F.to_date("history_end_time")))
+    days = fresh.select("day").distinct()
+    try:
+        stored = spark.read.parquet(path).join(F.broadcast(days) if days.count() <= MOST_DAYS else days, "day", "left_semi")
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        stored = fresh.limit(0)
+    merged = stage(upsert(stored.drop("day").select(*incoming.columns), incoming).withColumn("day", F.to_date("history_end_time")))
+    merged.hint("rebalance", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+# Up to this many days (30 years) the list of touched days is broadcast.
+MOST_DAYS = 11_000
+
+
 def save_state(spark: SparkSession, path: str, key: str, value: str) -> None:
     """Append a key/value progress record; the newest one counts."""
     row = spark.range(1).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 from rillcast.config import Clip, Grid
 from rillcast.functions.timeaxis import on_grid, shift
 from rillcast.operators import live
-from rillcast.sources.tables import append_batch, append_predictions_csv
+from rillcast.sources.tables import append_batch, write_predictions_csv
 
 EVENT_SCHEMA = StructType(
     [
@@ -41,19 +41,27 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 class NewestGuard(StatefulProcessor):
     """Keeps the latest time per series and flags rows that come after it.
 
-    State is one timestamp per series. Rows are judged in id order, the order
-    of arrival; a trigger bounds how many of them one call can see.
+    State is one timestamp per series; it starts from the series' latest stored
+    observation, if a history is given. Rows are judged in id order, the order
+    of arrival; files per trigger bound how many of them one call can see.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.latest = handle.getValueState("latest", StructType([StructField("micros", LongType())]))
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        times = initialState["latest"].dropna()
+        if len(times):
+            self.latest.update((int(times.astype("datetime64[us]").astype("int64").max()),))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values("datastream_id", kind="stable")
-        micros = batch["datetime_utc"].astype("datetime64[us]").astype("int64")
+        # Rows without a time are never newest and move nothing.
+        known = batch["datetime_utc"].notna()
+        micros = batch["datetime_utc"].astype("datetime64[us]").astype("int64").where(known, -(2**62))
         floor = self.latest.get()[0] if self.latest.exists() else -(2**62)
         before = micros.cummax().shift(1, fill_value=-(2**62)).clip(lower=floor)
-        batch["is_newest"] = micros > before
+        batch["is_newest"] = known & (micros > before)
         self.latest.update((max(floor, int(micros.max())),))
         yield batch[[f.name for f in JUDGED_SCHEMA.fields]]
 
@@ -74,12 +82,18 @@ def read_events(spark: SparkSession, path: str, files_per_trigger: int = 250) ->
     )
 
 
-def judge_stream(events: DataFrame) -> DataFrame:
-    """Every event with the guard's verdict. All rows of a series move its latest time."""
-    return (
-        events.where(F.col("datetime_utc").isNotNull())
-        .groupBy("site_id", "variable_id")
-        .transformWithStateInPandas(NewestGuard(), JUDGED_SCHEMA, "Append", "None")
+def judge_stream(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Every event with the guard's verdict. All rows of a series move its latest time.
+
+    ``history`` holds the observations that were there before the stream: their
+    latest time per series is where a fresh checkpoint starts.
+    """
+    keys = ("site_id", "variable_id")
+    known = None
+    if history is not None:
+        known = history.groupBy(*keys).agg(F.max("datetime_utc").alias("latest")).groupBy(*keys)
+    return events.groupBy(*keys).transformWithStateInPandas(
+        NewestGuard(), JUDGED_SCHEMA, "Append", "None", initialState=known
     )
 
 
@@ -88,7 +102,8 @@ def with_reason(judged: DataFrame, registry: DataFrame, grid: Grid = Grid()) ->
     routed = live.route(live.with_target(live.forecast_season(judged, grid)), registry)
     return routed.withColumn(
         "reason",
-        F.when(~on_grid("datetime_utc", grid), F.lit("not_exact_hour"))
+        F.when(F.col("datetime_utc").isNull(), F.lit("no_time"))
+        .when(~on_grid("datetime_utc", grid), F.lit("not_exact_hour"))
         .when(F.col("target_variable").isNull(), F.lit("no_target"))
         .when(~F.col("is_newest"), F.lit("not_newer"))
         .when(F.col("model_path").isNull(), F.lit("no_model"))
@@ -96,8 +111,14 @@ def with_reason(judged: DataFrame, registry: DataFrame, grid: Grid = Grid()) ->
     )
 
 
-def observations_near(table: DataFrame, accepted: DataFrame, lags: int, grid: Grid) -> DataFrame | None:
-    """The part of the observation table a batch can need, as a literal time filter for the scan."""
+def observations_near(
+    table: DataFrame, accepted: DataFrame, lags: int, grid: Grid, contexts: Mapping[str, Sequence[live.Context]] = live.CONTEXTS
+) -> DataFrame | None:
+    """The part of the observation table a batch can need, as a literal time filter for the scan.
+
+    It reaches back over the lags or the longest context window, whichever is longer.
+    """
+    lags = max([lags, *(c.window for cs in contexts.values() for c in cs)])
     ends = accepted.agg(F.min("datetime_utc").alias("a"), F.max("datetime_utc").alias("b")).select(
         shift("a", -lags, grid).alias("a"), "b"
     ).first()
@@ -149,14 +170,17 @@ class Forecaster:
             *live.EVENT_COLUMNS, "target_variable", F.col("failure").alias("reason")
         )
         append_batch(rejects.unionByName(failed), f"{self.out}/rejects", batch_id)
-        columns = ["site_id", "history_end_time", "forecast_start_time", "season", "lags"]
+        # The whole feature row is stored: own columns of the event and routing are not part of it.
+        apart = {*live.EVENT_COLUMNS, "is_newest", "target_variable", "model_path", "reason", "failure", "longest_gap"}
+        columns = ["site_id", *(c for c in features.columns if c not in apart)]
         rows = live.forecast_rows(
             features, self.registry, self.horizons, self.clip, self.grid, json_columns=columns
         )
         append_batch(rows.withColumn("created_at", F.localtimestamp()), f"{self.out}/predictions", batch_id)
         if self.csv:
-            append_predictions_csv(
-                spark.read.parquet(f"{self.out}/predictions/batch_id={batch_id}"), self.csv
+            # Below the batch id, so a replayed batch replaces its rows here too.
+            write_predictions_csv(
+                spark.read.parquet(f"{self.out}/predictions/batch_id={batch_id}"), f"{self.csv}/batch_id={batch_id}"
             )
 
 
