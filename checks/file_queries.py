@@ -23,10 +23,11 @@ from checks.inputs import (
 from checks.live_queries import FORECAST, forecasts
 from checks.model_queries import MEASURES, _measure_sql, _rounded
 from checks.registry import check, r, rsql
-from checks.table_queries import FACT, STAR, star
+from checks.table_queries import FACT, RECORDS, STAR, data_lines, site_headers, star
 from rillcast.operators import evaluate as ev
 from rillcast.operators import live, models, prep
 from rillcast.session import checkpoint_dir
+from rillcast.sources import sensor_csv as sc
 from rillcast.sources import tables as tb
 from rillcast.sources.staged import stage
 
@@ -135,3 +136,26 @@ def _(spark, sf_dir):
     )
 
 
+# The same predictions written twice into a table by day, those of site 2 raised the second time.
+@check("upsert_by_day", f"""WITH {FORECAST} SELECT source_datastream_id, target_variable, site_id, horizon, history_end_time,
+  {rsql("prediction * CASE WHEN site_id = 2 THEN 1.0123456789 ELSE 1 END", "prediction")} FROM pred
+QUALIFY row_number() OVER (PARTITION BY target_variable, site_id, history_end_time, season_key, horizon ORDER BY source_datastream_id DESC) = 1""")
+def _(spark, sf_dir):
+    path = folder(spark, "predictions")
+    rows = stage(forecasts(spark, sf_dir))
+    tb.upsert_predictions(rows, path)
+    tb.upsert_predictions(rows.where("site_id = 2").withColumn("prediction", F.col("prediction") * 1.0123456789), path)
+    return spark.read.parquet(path).select(
+        "source_datastream_id", "target_variable", "site_id", "horizon", "history_end_time", r("prediction").alias("prediction")
+    )
+
+
+# Sensor lines written as text files and read again, header and data of a site in one file.
+@check("csv_staging", f"""SELECT concat('Site ', s_name) AS site_name, s_acctbal AS latitude, qualifier_code, datetime_utc, value
+FROM ({RECORDS}) d JOIN supplier ON d.file = concat('supplier_', s_suppkey, '.csv')""")
+def _(spark, sf_dir):
+    path = folder(spark, "sensor")
+    lines = data_lines(spark, sf_dir).unionByName(site_headers(spark, sf_dir))
+    in_order = lines.repartition("file").sortWithinPartitions("file", "position").select("file", F.col("line").alias("value"))
+    in_order.write.partitionBy("file").text(path)
+    return sc.staging_rows(spark, path).select("site_name", "latitude", "qualifier_code", "datetime_utc", "value")

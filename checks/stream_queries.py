@@ -24,7 +24,7 @@ def _arrivals(spark, sf_dir):
     top = e.agg(F.max("datastream_id")).first()[0] + 1
     for i in range(PARTS):
         part = e.where(F.col("datastream_id").between(i * top // PARTS, (i + 1) * top // PARTS - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{base}/events")
+        part.write.mode("append").parquet(f"{base}/events")
     return base
 
 
@@ -67,3 +67,34 @@ def _(spark, sf_dir):
     return rows.select(*PRED_COLUMNS.split(", "), r("prediction").alias("prediction"))
 
 
+
+
+# Half of the events are stored before the stream starts: their times hold events of the other half back.
+HISTORY_FORECAST = FORECAST + f""",
+cut AS (SELECT (max(datastream_id) + 1) // 2 AS half FROM obs),
+arrived AS (
+  SELECT o.datastream_id AS source_datastream_id, o.datetime_utc > coalesce(greatest(
+      (SELECT max(h.datetime_utc) FROM obs h, cut WHERE h.datastream_id < half AND h.site_id = o.site_id AND h.variable_id = o.variable_id),
+      max(o.datetime_utc) OVER (PARTITION BY o.site_id, o.variable_id ORDER BY o.datastream_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    TIMESTAMP '0001-01-01') AS is_newest, o.datetime_utc
+  FROM obs o, cut WHERE o.datastream_id >= half)
+SELECT {PRED_COLUMNS}, {rsql("prediction", "prediction")} FROM pred
+SEMI JOIN (SELECT source_datastream_id FROM arrived WHERE is_newest AND {ON_HOUR}) USING (source_datastream_id)"""
+
+
+@check("stream_on_history", f"WITH {HISTORY_FORECAST}")
+def _(spark, sf_dir):
+    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    e = events(spark, sf_dir)
+    at = (e.agg(F.max("datastream_id")).first()[0] + 1) // 2
+    e.write.parquet(f"{base}/observations")
+    e.where(F.col("datastream_id") >= at).write.parquet(f"{base}/events")
+    stream.prepare_streams(spark)
+    history = spark.read.parquet(f"{base}/observations").where(F.col("datastream_id") < at)
+    handler = stream.Forecaster(
+        f"{base}/observations", live_registry(spark), f"{base}/out", horizons=LIVE_HORIZONS, clip=LIVE_CLIP
+    )
+    judged = stream.judge_stream(stream.read_events(spark, f"{base}/events", 250), history)
+    stream.start(judged, handler, f"{base}/checkpoint", once=True).awaitTermination()
+    rows = current_predictions(spark, f"{base}/out/predictions")
+    return rows.select(*PRED_COLUMNS.split(", "), r("prediction").alias("prediction"))

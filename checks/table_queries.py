@@ -94,7 +94,10 @@ def data_lines(spark, sf_dir):
     )
     first = F.struct(F.lit(-1).cast("long").alias("block"), F.lit(0).alias("row"))
     suppliers = table(spark, sf_dir, "supplier").select(
-        F.lit("ResultQualifiers, ResultTime, Result").alias("line"),
+        # Every other file has blanks around its titles, which are trimmed.
+        F.when(F.col("s_suppkey") % 2 == 0, F.lit("ResultQualifiers, ResultTime, Result")).otherwise(
+            F.lit("ResultQualifiers,ResultTime,Result")
+        ).alias("line"),
         F.concat(F.lit("supplier_"), F.col("s_suppkey"), F.lit(".csv")).alias("file"),
         first.alias("position"),
     )
@@ -117,20 +120,22 @@ def _(spark, sf_dir):
     return sc.rows_per_file(rows.withColumnRenamed("file", "source_file"))
 
 
+def site_headers(spark, sf_dir):
+    """Header lines of each supplier's file; they stand before its column titles."""
+    lines = F.array(
+        F.lit("# Site Information:"), F.concat(F.lit("# Name: Site "), "s_name"),
+        F.lit("# Location Information:"), F.concat(F.lit("# Latitude: "), F.col("s_acctbal").cast("string")),
+    )
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("supplier_"), F.col("s_suppkey"), F.lit(".csv")).alias("file"), F.posexplode(lines).alias("_i", "line")
+    ).select("line", "file", F.struct(F.lit(-2).cast("long").alias("block"), F.col("_i").alias("row")).alias("position"))
+
+
 # Sensor lines joined with the header of their own file.
 @check("denormalise", f"""SELECT d.*, concat('Site ', s_name) AS site_name, s_acctbal AS latitude
 FROM ({RECORDS}) d JOIN supplier ON d.file = concat('supplier_', s_suppkey, '.csv')""")
 def _(spark, sf_dir):
-    heads = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("supplier_"), F.col("s_suppkey"), F.lit(".csv")).alias("file"),
-        F.posexplode(
-            F.array(
-                F.lit("# Site Information:"), F.concat(F.lit("# Name: Site "), "s_name"),
-                F.lit("# Location Information:"), F.concat(F.lit("# Latitude: "), F.col("s_acctbal").cast("string")),
-            )
-        ).alias("_i", "line"),
-    ).select("line", "file", F.struct(F.lit(0).alias("block"), F.col("_i").alias("row")).alias("position"))
-    meta = sc.metadata(sc.header_entries(heads)).select("file", "site_name", "latitude")
+    meta = sc.metadata(sc.header_entries(site_headers(spark, sf_dir))).select("file", "site_name", "latitude")
     return sc.observations(sc.records(data_lines(spark, sf_dir))).join(meta, "file")
 
 
@@ -293,7 +298,33 @@ def _(spark, sf_dir):
     return pf.row_counts(_tables(spark, sf_dir))
 
 
-@check("prof_sample_rows", "SELECT * FROM events ORDER BY event_id LIMIT 10")
+FIRST_KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey l_linenumber", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id",
+    "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id turn",
+}
+
+
+def _key_text(keys):
+    return "concat_ws('/', " + ", ".join(f"CAST({k} AS VARCHAR(99))" for k in keys.split()) + ")"
+
+
+# Ten rows of every table, named by their keys.
+@check("prof_sample_rows", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, k AS sample_key FROM (SELECT {_key_text(keys)} AS k FROM {t} ORDER BY {keys.replace(' ', ', ')} LIMIT 10)"
+    for t, keys in FIRST_KEYS.items()
+))
+def _(spark, sf_dir):
+    out = None
+    for t, keys in FIRST_KEYS.items():
+        part = pf.head(table(spark, sf_dir, t), 10, keys.split()).select(
+            F.lit(t).alias("table_name"), F.concat_ws("/", *[F.col(k).cast("string") for k in keys.split()]).alias("sample_key")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@check("prof_sample_of_events", "SELECT * FROM events ORDER BY event_id LIMIT 10")
 def _(spark, sf_dir):
     return pf.head(table(spark, sf_dir, "events"), 10, ["event_id"])
 

@@ -161,14 +161,20 @@ def unquoted(cell: Column) -> Column:
     return F.when(quoted, F.trim(inner)).otherwise(c)
 
 
-def records(text: DataFrame) -> DataFrame:
+def records(text: DataFrame, trim_titles: bool = True) -> DataFrame:
     """Data lines as ``file, time_text, value_text, qualifier_text``, columns found by their header name.
 
     The first line of a file that is no comment and not blank names the columns.
+    With ``trim_titles`` blanks around a title don't count; off, a padded title
+    names no column, and its file gives no usable rows. A quoted cell must end
+    on its line.
     """
     data = text.where(~F.col("line").startswith("#") & (F.trim("line") != ""))
-    names = data.groupBy("file").agg(F.min_by("line", "position").alias("names"))
-    titles = F.transform(cells(F.col("names")), unquoted)
+    # First the smallest place of each file by fixed-width numbers, then that one line.
+    rows = data.groupBy("file", F.col("position.block").alias("block")).agg(F.min("position.row").alias("row"))
+    first = per_key(rows.groupBy("file").agg(F.min(F.struct("block", "row")).alias("_first")))
+    names = data.join(first, "file").where(F.col("position") == F.col("_first")).select("file", F.col("line").alias("names"))
+    titles = F.transform(cells(F.col("names")), unquoted) if trim_titles else F.split("names", ",")
     places = per_key(
         names.select(
             "file", "names", *[F.array_position(titles, n).alias(f"_{n}") for n in (TIME, RESULT, QUALIFIER)]
@@ -204,14 +210,14 @@ def observations(rows: DataFrame) -> DataFrame:
     ).where(F.col("datetime_utc").isNotNull())
 
 
-def staging_rows(spark: SparkSession, path: str, apply_no_data: bool = False) -> DataFrame:
+def staging_rows(spark: SparkSession, path: str, apply_no_data: bool = False, trim_titles: bool = True) -> DataFrame:
     """Flat staging rows of all files of a path: every observation with its file's metadata.
 
     ``apply_no_data`` turns the declared no-data value into null; off, it stays
     a value.
     """
     text = lines(spark, path)
-    described = observations(records(text)).join(per_key(metadata(header_entries(text))), "file", "left")
+    described = observations(records(text, trim_titles)).join(per_key(metadata(header_entries(text))), "file", "left")
     if apply_no_data:
         described = described.withColumn(
             "value", F.when(~F.col("value").eqNullSafe(F.col("no_data_value")), F.col("value"))

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rillcast.config import Clip
+from rillcast.config import Clip, Grid
 from rillcast.operators import live
 from rillcast.sources import tables as tb
 from rillcast.streaming import live as stream
@@ -249,3 +249,54 @@ def test_guard_orders_rows_by_id():
     assert out.set_index("datastream_id").is_newest.to_dict() == {1: True, 2: True, 3: False}
     out = next(guard.handleInputRows((1, 1), iter([batch([(4, t + 2 * hour), (5, t + 3 * hour)])]), None))
     assert out.is_newest.tolist() == [False, True]
+
+
+def test_guard_starts_from_history_and_rejects_missing_times():
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.value = v
+
+    guard = stream.NewestGuard()
+    guard.latest = State()
+    t = pd.Timestamp("2024-01-01")
+    hour = pd.Timedelta(hours=1)
+    guard.handleInitialState((1, 1), pd.DataFrame({"latest": [t + 2 * hour]}), None)
+    rows = pd.DataFrame({"datastream_id": [1, 2, 3, 4], "datetime_utc": [t + hour, pd.NaT, t + 3 * hour, pd.NaT]})
+    rows = rows.assign(site_id=1, variable_id=1, variable_code="X", value=0.0)
+    out = next(guard.handleInputRows((1, 1), iter([rows]), None))
+    assert out.is_newest.tolist() == [False, False, True, False]
+    assert guard.latest.get()[0] == (t + 3 * hour).value // 1000
+
+
+def test_scan_of_a_batch_reaches_over_the_longest_window(spark, obs):
+    table = obs({h: 1.0 for h in range(400)}, 1, "SnowDepth", 3, 1)
+    event = obs({399: 1.0}, 3, "Discharge", 1, 9000).withColumn("target_variable", F.lit("discharge"))
+    near = stream.observations_near(table, event, 24, Grid())
+    assert near.count() == 168
+    assert stream.observations_near(table, event.limit(0), 24, Grid()) is None
+
+
+def test_upsert_touches_only_its_days(spark, tmp_path):
+    schema = (
+        "source_datastream_id long, model_family string, target_variable string, site_id int, season_key string, "
+        "history_end_time timestamp_ntz, horizon int, prediction double"
+    )
+    day = dt.datetime(2024, 5, 1)
+    rows = [(i, "f", "discharge", 3, "spring", day + dt.timedelta(days=i % 3), 1 + i // 3, float(i)) for i in range(12)]
+    path = str(tmp_path / "predictions")
+    tb.upsert_predictions(spark.createDataFrame(rows, schema), path)
+    files = lambda d: sorted(p.name for p in (tmp_path / "predictions" / f"day=2024-05-0{d}").glob("*.parquet"))
+    before = {d: files(d) for d in (1, 2, 3)}
+    changed = (99, "f", "discharge", 3, "spring", day + dt.timedelta(days=1), 2, -1.0)
+    tb.upsert_predictions(spark.createDataFrame([changed], schema), path)
+    assert files(1) == before[1] and files(3) == before[3] and files(2) != before[2]
+    now = {(r.history_end_time.day, r.horizon): r.prediction for r in spark.read.parquet(path).collect()}
+    assert len(now) == 12 and now[2, 2] == -1.0

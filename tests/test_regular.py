@@ -198,3 +198,20 @@ def test_ranked_and_dense_ids_match_a_plain_order(spark):
     assert {r.rank_total for r in got.select("rank_total").distinct().collect()} == {166, 167}
     ids = [r.n for r in dense_ids(df.select("id"), ["id"], "n", 10).collect()]
     assert sorted(ids) == list(range(11, 511))
+
+
+def test_buckets_hash_before_the_shuffle(spark, obs):
+    """Raw rows aren't sorted to find the last one of a tick."""
+    plan = bucket_last(obs({0: 1.0, 0.5: 2.0}))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_ties_in_a_bucket(spark):
+    at = dt.datetime(2024, 1, 1, 0, 30)
+    schema = "datastream_id long, datetime_utc timestamp_ntz, site_id int, variable_code string, variable_id int, value double"
+    rows = [(5, at, 1, "X", -3, 1.0), (9, at, 1, "X", 2, 2.0), (4, at, 1, "X", 7, 3.0), (8, at, 1, "X", 7, 4.0), (None, at, 1, "X", None, 5.0)]
+    for label in ("start", "end"):
+        frame = spark.createDataFrame(rows, schema)
+        assert [r.value for r in bucket_last(frame, Grid(label=label)).collect()] == [4.0]
+    with pytest.raises(Exception, match="out of range"):
+        bucket_last(spark.createDataFrame([(10**17, at, 1, "X", 1, 1.0)], schema)).collect()

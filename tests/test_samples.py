@@ -8,6 +8,7 @@ from rillcast.config import AIR_TEMPERATURE, DAY, DISCHARGE, Feature, Grid, Samp
 from rillcast.functions.timeaxis import tick_of, tick_time
 from rillcast.operators.samples import (
     from_columns,
+    lag_table,
     ratio_split,
     samples_of_table,
     stride_positions,
@@ -147,3 +148,13 @@ def test_ratio_split_takes_the_floor(spark, hours):
     df = spark.createDataFrame([(1, hours(h)) for h in range(11)], "site_id int, t timestamp_ntz")
     got = ratio_split(df, ["site_id"], "t", Grid(block=3)).orderBy("t").collect()
     assert [r.part for r in got] == ["train"] * 8 + ["test"] * 3
+
+
+def test_lag_table_keeps_missing_values_in_place(spark):
+    rows = spark.createDataFrame(
+        [(1, 0, t, 0, True, float(t), None if t in (2, 5) else float(10 * t), float(t)) for t in range(8)],
+        "site_id int, block long, tick long, lo long, core boolean, a double, b double, a_observed double",
+    )
+    got = {r.target: (r.a_lags, r.b_lags) for r in lag_table(rows, ["a", "b"], "a", Grid(), 4).collect()}
+    assert sorted(got) == [4.0, 5.0, 6.0, 7.0]
+    assert got[6.0] == ([2.0, 3.0, 4.0, 5.0], [None, 30.0, 40.0, None])

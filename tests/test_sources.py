@@ -163,8 +163,12 @@ def test_training_files_round_trip(spark, obs, tmp_path):
 
 def test_empty_training_set_and_missing_files_fail(spark, obs, tmp_path):
     target, samples = _samples(spark, obs)
+    kept = str(tmp_path / "none")
+    tb.write_training(samples, target, kept, 24, 3)
+    n = spark.read.parquet(kept).count()
     with pytest.raises(ValueError, match="no discharge samples"):
-        tb.write_training(samples.limit(0), target, str(tmp_path / "none"), 24, 3)
+        tb.write_training(samples.limit(0), target, kept, 24, 3)
+    assert spark.read.parquet(kept).count() == n > 0
     with pytest.raises(FileNotFoundError):
         tb.load_training(spark, str(tmp_path / "nothing/*.parquet"))
     with pytest.raises(FileNotFoundError):
