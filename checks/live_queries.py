@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.inputs import (
@@ -25,6 +27,9 @@ from rillcast.functions.timeaxis import on_grid
 from rillcast.operators import live
 from rillcast.operators.models import fit_linear, linear_registry
 from rillcast.operators.prep import usable_subsets
+from rillcast.operators.profile import max_id
+from rillcast.session import checkpoint_dir
+from rillcast.sources.tables import load_state, save_state
 from rillcast.sources.staged import stage
 
 TARGET_SQL = "CASE variable_code WHEN 'AirTemp' THEN 'air_temperature' WHEN 'Discharge' THEN 'discharge' END"
@@ -46,6 +51,18 @@ def _(spark, sf_dir):
     return live.new_events(facts.drop("variable_code"), variables(spark, sf_dir), 500, 250)
 
 
+# A poller that starts at the current maximum, falls back to an older mark, and goes on from the newest one it saved.
+@check("resume_state", f"""WITH {OBS} SELECT datastream_id, site_id, variable_id, variable_code, datetime_utc, value FROM obs
+  WHERE datastream_id > (SELECT max(event_id) // 2 FROM events) ORDER BY datastream_id LIMIT 250""")
+def _(spark, sf_dir):
+    path = f"{checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    facts = events(spark, sf_dir)
+    top = max_id(facts, "datastream_id").first().max_id
+    for mark in (top, top // 3, top // 2):
+        save_state(spark, path, "last_id", str(mark))
+    return live.new_events(facts.drop("variable_code"), variables(spark, sf_dir), int(load_state(spark, path, "last_id")), 250)
+
+
 # Replay of events chosen by their ids: all purchases.
 @check("replay_ids", f"""WITH {OBS} SELECT datastream_id, site_id, variable_id, variable_code, datetime_utc, value FROM obs
   WHERE datastream_id IN (SELECT event_id FROM events WHERE event_type = 'purchase')""")
@@ -230,16 +247,21 @@ def _(spark, sf_dir):
     return forecasts(spark, sf_dir).withColumn("prediction", r("prediction"))
 
 
+# Every lag by its place, and the scalar fields.
 @check("feature_json", f"""WITH {FORECAST} SELECT datastream_id AS source_datastream_id, site_id,
-  strftime(datetime_utc, '%Y-%m-%d %H:%M:%S') AS history_end_time, season, CAST(168 AS INTEGER) AS n_lags FROM ready""")
+  strftime(datetime_utc, '%Y-%m-%d %H:%M:%S') AS history_end_time, strftime(datetime_utc + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS forecast_start_time,
+  CAST(year(datetime_utc + INTERVAL 1 HOUR) AS INTEGER) AS year, CAST(month(datetime_utc + INTERVAL 1 HOUR) AS INTEGER) AS month, season,
+  CAST(i AS INTEGER) AS place, {rsql("lags[i]", "lag")} FROM ready, range(1, 169) t(i)""")
 def _(spark, sf_dir):
     rows = forecasts(spark, sf_dir, JSON_COLUMNS).where("horizon = 1")
     parsed = F.from_json(
-        "feature_row_json", "site_id int, history_end_time string, season string, lags array<double>"
+        "feature_row_json",
+        "site_id int, history_end_time string, forecast_start_time string, year int, month int, season string, lags array<double>",
     )
     return rows.withColumn("f", parsed).select(
-        "source_datastream_id", "f.site_id", "f.history_end_time", "f.season", F.size("f.lags").alias("n_lags")
-    )
+        "source_datastream_id", "f.site_id", "f.history_end_time", "f.forecast_start_time", "f.year", "f.month", "f.season",
+        F.posexplode("f.lags").alias("i", "v"),
+    ).select("*", (F.col("i") + 1).alias("place"), r("v").alias("lag")).drop("i", "v")
 
 
 # Forecasts of all events, then once more with a raised value for those of site 2: the later write wins.

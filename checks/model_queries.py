@@ -120,6 +120,18 @@ def _(spark, sf_dir):
     )
 
 
+# The form without season flags: seven features a step.
+@check("time_features_plain", f"""WITH {DAILY_SAMPLES}, s AS (
+  SELECT site_id, forecast_start_time, CAST(k AS INTEGER) AS lag, history_end_time - (k - 1) * INTERVAL 1 DAY AS t
+  FROM samples, range(1, 29) x(k))
+SELECT site_id, forecast_start_time, lag, CAST(7 AS INTEGER) AS width, {", ".join(rsql(_TF[n], n) for n in CYCLIC)} FROM s""")
+def _(spark, sf_dir):
+    s = prep.with_time_features(daily_samples(spark, sf_dir), L, DAILY, season_flags=False)
+    return s.select(*KEYS, F.posexplode("time_steps").alias("i", "f")).select(
+        *KEYS, (F.lit(L) - F.col("i")).alias("lag"), F.size("f").alias("width"), *[r(F.col("f")[j]).alias(n) for j, n in enumerate(CYCLIC)],
+    )
+
+
 @check("split_year", f"""WITH {DAILY_SPLIT} SELECT site_id, forecast_start_time, validation_start, validation_end, part FROM split""")
 def _(spark, sf_dir):
     return daily_split(spark, sf_dir).select(*KEYS, "validation_start", "validation_end", "part")

@@ -22,8 +22,8 @@ from checks.series_queries import AIR_DENSE, WIDE
 from rillcast.config import DISCHARGE, SampleSpec
 from rillcast.functions.timeaxis import tick_time
 from rillcast.operators.regular import bounds, bucket_last, regular_blocks
-from rillcast.operators.samples import lag_table, ratio_split, stride_positions
-from rillcast.plans.training import training_samples
+from rillcast.operators.samples import lag_table, ratio_split, samples_of_table, stride_positions
+from rillcast.plans.training import regular_table, target_by_terms, training_samples
 
 MULTI = f"""{WIDE},
 multi AS (
@@ -85,6 +85,34 @@ def _(spark, sf_dir):
     return rows.withColumns({c: r(c) for c in names})
 
 
+# Codes as other networks write them; the terms choose them, and two codes of discharge feed one series.
+CODES = {"AirTemp": ("Air Temperature", "Air Temperature"), "Discharge": ("StreamFlow", "River discharge"),
+         "Precip": ("Precipitation", "Precipitation"), "SnowDepth": ("Snow Depth", "Snow Depth")}
+
+
+@check("samples_by_terms", f"""WITH {MULTI} SELECT {META.format(u="HOUR", h=23, cal=CALENDAR.format(t="forecast_start_time"))},
+  {rsql("snow_latest", "snow_depth_latest")}, {rsql("air_avg", "air_temp_avg_last_24h")},
+  {rsql("precip_avg", "precip_avg_last_24h")}, {DIGEST}
+  FROM lagged JOIN (SELECT site_id, idx, snow_latest, air_avg, precip_avg FROM multi) USING (site_id, idx)""")
+def _(spark, sf_dir):
+    obs = observations(spark, sf_dir)
+    code = F.col("variable_code")
+    for old, (even, odd) in CODES.items():
+        code = F.when(F.col("variable_code") == old, F.when(F.col("datastream_id") % 2 == 0, F.lit(even)).otherwise(F.lit(odd))).otherwise(code)
+    obs = obs.withColumn("variable_code", code)
+    variables = obs.select("variable_code", F.lit("").alias("name")).distinct()
+    rows = _digest(training_samples(obs, target_by_terms(DISCHARGE, variables)))
+    names = ("snow_depth_latest", "air_temp_avg_last_24h", "precip_avg_last_24h")
+    return rows.withColumns({c: r(c) for c in names})
+
+
+# The regular table a user already has gives the same samples as the observations behind it.
+@check("samples_of_table", f"""WITH {SINGLE} SELECT {META.format(u="HOUR", h=23, cal=CALENDAR.format(t="forecast_start_time"))}, {DIGEST} FROM lagged""")
+def _(spark, sf_dir):
+    hourly = regular_table(observations(spark, sf_dir), AIR_TARGET, HOURLY)
+    return _digest(samples_of_table(hourly, AIR_TARGET, HOURLY, SampleSpec(), False))
+
+
 @check("samples_single", f"""WITH {SINGLE} SELECT {META.format(u="HOUR", h=23, cal=CALENDAR.format(t="forecast_start_time"))}, {DIGEST} FROM lagged""")
 def _(spark, sf_dir):
     return _digest(training_samples(observations(spark, sf_dir), AIR_TARGET))

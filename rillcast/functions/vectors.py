@@ -120,6 +120,3 @@ def time_feature_steps(
         lambda k: F.array(*time_features(shift(end, F.lit(1) - k, grid), season_flags)),
     )
 
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)

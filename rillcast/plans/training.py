@@ -2,15 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillcast.config import Grid, SampleSpec, Target
+from rillcast.config import MATCH_TERMS, Grid, SampleSpec, Target
 from rillcast.functions.timeaxis import tick_time
+from rillcast.operators.profile import find_variables
 from rillcast.operators.regular import calendar_columns, regular_blocks
+from rillcast.operators.scan import literal_rows
 from rillcast.operators.samples import reach_back, sample_blocks, trailing_mean
 
 
+def target_by_terms(
+    target: Target, variables: DataFrame, terms: Mapping[str, Sequence[str]] = MATCH_TERMS, most: int = 1000
+) -> Target:
+    """The target with each feature's codes chosen by terms in variable codes and names; several codes feed one series.
+
+    ``variables`` is the variable table (variable_code, name). A feature whose
+    terms match nothing, or more than ``most`` codes, stops the job.
+    """
+    features = []
+    for feature in target.features:
+        found = find_variables(variables, terms[feature.name]).select("variable_code").distinct().limit(most + 1).collect()
+        if not 0 < len(found) <= most:
+            raise ValueError(f"{len(found)} variables match {list(terms[feature.name])}, expected 1 to {most}")
+        features.append(replace(feature, variable_codes=tuple(sorted(r.variable_code for r in found))))
+    return replace(target, features=tuple(features))
+
+
 def has_context(target: Target) -> bool:
     return bool(target.rolling)
 
@@ -53,8 +75,8 @@ def training_samples(
 
 def require_samples(samples: DataFrame, target: Target) -> DataFrame:
     """Fail when a target site has no sample at all (one small aggregate)."""
-    found = {r.site_id for r in samples.groupBy("site_id").count().collect()}
-    lost = sorted(set(target.site_ids) - found)
+    wanted = literal_rows(samples.sparkSession, "site_id int", [(i,) for i in target.site_ids])
+    lost = sorted(r.site_id for r in wanted.join(samples.select("site_id").distinct(), "site_id", "left_anti").collect())
     if lost:
         raise ValueError(f"no {target.name} samples for sites {lost}")
     return samples
