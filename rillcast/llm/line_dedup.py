@@ -134,6 +134,15 @@ def distinct_lines(docs: DataFrame, most: int, least_chars: int) -> DataFrame:
     )
 
 
+# A table of digests of up to this many rows (16 MB) is broadcast; a larger one is joined by shuffle.
+BROADCAST_DIGESTS = 1_000_000
+
+
+def counted(digests: DataFrame) -> DataFrame:
+    """A written table of digests, broadcast if its counted rows allow it."""
+    return F.broadcast(digests) if digests.count() <= BROADCAST_DIGESTS else digests
+
+
 def line_links(docs: DataFrame, lines: DataFrame, most: int) -> DataFrame:
     """Links (d1, d2, e1, e2) of different lines within ``most`` edits, both ways.
 
@@ -148,7 +157,7 @@ def line_links(docs: DataFrame, lines: DataFrame, most: int) -> DataFrame:
     probe = stage(probe.join(index, (F.col("key2") == F.col("key")) & (F.col("e1") != F.col("d1")), "left_semi"))
     index = stage(index.join(probe, (F.col("key2") == F.col("key")) & (F.col("e1") != F.col("d1")), "left_semi"))
     met = stage(probe.select(F.col("e1").alias("d1")).unionByName(index.select("d1")).distinct())
-    texts = lines_of(docs).select("d1", "d2", "line").join(met, "d1", "left_semi").groupBy("d1", "d2").agg(F.min("line").alias("line"))
+    texts = lines_of(docs).select("d1", "d2", "line").join(counted(met), "d1", "left_semi").groupBy("d1", "d2").agg(F.min("line").alias("line"))
     texts = stage(texts.withColumn("letters", characters(F.col("line"))).withColumn("parity", parities(F.col("letters"))))
     named = texts.select("d1", "d2", "parity")
     other = texts.select(*(F.col(c).alias(f"e{c[1:]}") for c in ("d1", "d2")), F.col("parity").alias("parity2"))
