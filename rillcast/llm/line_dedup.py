@@ -53,9 +53,17 @@ def probe_keys(line: Column, length: Column, most: int) -> list[Column]:
 
 
 def parities(letters: Column) -> Column:
-    """Bit per class of characters (by digest): whether their number is odd. An edit flips two bits at most."""
-    flip = lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(c), F.lit(64)).cast("int")))
-    return F.aggregate(letters, F.lit(0).cast("long"), flip)
+    """Bit per class of neighbouring characters (by digest): whether their number is odd.
+
+    An edit takes away two pairs of neighbours and brings two at most, so it
+    flips four bits at most; a replaced word flips many more.
+    """
+
+    def flip(bits: Column, k: Column) -> Column:
+        place = F.pmod(F.xxhash64(F.get(letters, k), F.get(letters, k + 1)), F.lit(64)).cast("int")
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(letters) - 2), F.lit(0).cast("long"), flip)
 
 
 def banded_distance(shorter: Column, longer: Column, most: int) -> Column:
@@ -158,10 +166,10 @@ def line_links(docs: DataFrame, lines: DataFrame, most: int) -> DataFrame:
     index = stage(index.join(probe, (F.col("key2") == F.col("key")) & (F.col("e1") != F.col("d1")), "left_semi"))
     met = stage(probe.select(F.col("e1").alias("d1")).unionByName(index.select("d1")).distinct())
     texts = lines_of(docs).select("d1", "d2", "line").join(counted(met), "d1", "left_semi").groupBy("d1", "d2").agg(F.min("line").alias("line"))
-    texts = stage(texts.withColumn("letters", characters(F.col("line"))).withColumn("parity", parities(F.col("letters"))))
+    texts = stage(texts.withColumn("letters", characters(F.col("line"))).withColumn("parity", bound(F.col("letters"), parities)))
     named = texts.select("d1", "d2", "parity")
     other = texts.select(*(F.col(c).alias(f"e{c[1:]}") for c in ("d1", "d2")), F.col("parity").alias("parity2"))
-    near = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2"))) <= 2 * most
+    near = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2"))) <= 4 * most
     pairs = index.join(named, "d1").join(
         probe.join(other, "e1"), (F.col("key") == F.col("key2")) & (F.col("d1") != F.col("e1")) & near
     ).select("d1", "d2", "e1", "e2").distinct()
