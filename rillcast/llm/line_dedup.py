@@ -36,7 +36,7 @@ def index_keys(line: Column, length: Column, most: int) -> list[Column]:
 def probe_keys(line: Column, length: Column, most: int) -> list[Column]:
     """Keys of the substrings that can equal a segment of a line of this length or up to ``most`` shorter.
 
-    Left of segment ``i`` at most ``i`` edits and right of it at most ``most -
+    The line's own index keys are such keys too and aren't made again. Left of segment ``i`` at most ``i`` edits and right of it at most ``most -
     i`` can be assumed, for any other split of the edits another segment
     matches; this bounds how far the segment has moved.
     """
@@ -46,6 +46,8 @@ def probe_keys(line: Column, length: Column, most: int) -> list[Column]:
         for i in range(most + 1):
             start, size = segment(i, other, most)
             for move in range(max(-i, shorter - (most - i)), min(i, shorter + most - i) + 1):
+                if shorter == 0 and move == 0:
+                    continue
                 at = start + move
                 fits = (at >= 0) & (at + size <= length)
                 keys.append(F.when(fits, F.xxhash64(F.lit(i), other, F.substr(line, at + 1, size))))
@@ -73,7 +75,9 @@ def banded_distance(shorter: Column, longer: Column, most: int) -> Column:
 
     Bit ``k`` of a column's vectors stands for the row ``k - most`` below the
     diagonal, so a column is a few operations on one integer. The distance is
-    followed down the band's lowest diagonal until the last row, then along it.
+    followed down the band's lowest diagonal until the last row, then along it
+    for up to ``2 * most`` columns; once it is too large to come back from, the
+    remaining columns are passed over.
     """
     width = 2 * most + 1
     every = F.lit((1 << width) - 1).cast("long")
@@ -105,7 +109,7 @@ def banded_distance(shorter: Column, longer: Column, most: int) -> Column:
 
             return bound(zero, moved)
 
-        return bound(equal, step)
+        return F.when(state["n"] > 3 * most, state).otherwise(bound(equal, step))
 
     first = F.struct(
         F.lit(((1 << (most + 1)) - 1) << most).cast("long").alias("up"), F.lit(0).cast("long").alias("down"), F.lit(most).alias("n")
@@ -161,7 +165,7 @@ def line_links(docs: DataFrame, lines: DataFrame, most: int) -> DataFrame:
     """
     keyed = lines.where("keys IS NOT NULL")
     index = keyed.select("d1", F.explode(F.slice("keys", 1, most + 1)).alias("key"))
-    probe = keyed.select(F.col("d1").alias("e1"), F.explode(F.slice("keys", most + 2, 1 << 20)).alias("key2")).where("key2 IS NOT NULL")
+    probe = keyed.select(F.col("d1").alias("e1"), F.explode("keys").alias("key2")).where("key2 IS NOT NULL")
     probe = stage(probe.join(index, (F.col("key2") == F.col("key")) & (F.col("e1") != F.col("d1")), "left_semi"))
     index = stage(index.join(probe, (F.col("key2") == F.col("key")) & (F.col("e1") != F.col("d1")), "left_semi"))
     met = stage(probe.select(F.col("e1").alias("d1")).unionByName(index.select("d1")).distinct())
