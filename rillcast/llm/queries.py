@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillcast.llm.decontaminate import leaks
+from rillcast.llm.decontaminate import NUMBER_WORDS, UNITS, leaks
 from rillcast.llm.line_dedup import dedup_lines
 from rillcast.llm.piece_bpe import piece_digests
 from rillcast.llm.pseudonyms import pseudonymise
@@ -117,6 +117,49 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("digest")
 
 
+def _canonical_sql(name: str, key: str, table_name: str) -> str:
+    """Canonical words, then windows of five with two literal words or more, of a table's texts."""
+    numbers, units = (", ".join(f"'{v}'" for v in words) for words in (NUMBER_WORDS, UNITS))
+    window = ", ".join(f"lead({{c}}, {k}) OVER w" for k in range(5))
+    return f"""{name}_raw AS (
+  SELECT {key}, generate_subscripts(l, 1) AS i, unnest(l) AS raw
+  FROM (SELECT {key}, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS l FROM {table_name} WHERE text IS NOT NULL)),
+{name}_bare AS (
+  SELECT *, regexp_replace(raw, '^[^\\p{{L}}\\p{{N}}%]+|[^\\p{{L}}\\p{{N}}%]+$', '', 'g') AS bare,
+    lag(regexp_matches(raw, '[.!?:;][^\\p{{L}}\\p{{N}}]*$')) OVER (PARTITION BY {key} ORDER BY i) AS after_end FROM {name}_raw),
+{name}_word AS (
+  SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY i) - 1 AS place, lower(bare) AS low,
+    regexp_matches(lower(bare), '^[+-]?\\p{{N}}[\\p{{N}}.,:/-]*%?$') OR lower(bare) IN ({numbers}) AS is_number,
+    regexp_matches(bare, '^\\p{{Lu}}\\p{{Ll}}') AND NOT coalesce(after_end, true) AS is_name FROM {name}_bare WHERE bare <> ''),
+{name}_kind AS (
+  SELECT {key}, place, low, CASE WHEN is_number THEN '<number>'
+      WHEN low IN ({units}) AND lag(is_number) OVER (PARTITION BY {key} ORDER BY place) THEN '<unit>'
+      WHEN is_name AND place > 0 THEN '<name>' END AS slot FROM {name}_word),
+{name}_win AS (
+  SELECT * FROM (SELECT {key}, place, [{window.format(c="coalesce(slot, low)")}] AS canon, [{window.format(c="slot")}] AS slots, [{window.format(c="low")}] AS lows
+    FROM {name}_kind WINDOW w AS (PARTITION BY {key} ORDER BY place))
+  WHERE canon[5] IS NOT NULL AND len([x FOR x IN slots IF x IS NULL]) >= 2)"""
+
+
+LEAKS_SQL = f"""
+WITH {_canonical_sql("d", "doc_id", "documents")},
+{_canonical_sql("b", "item_id", "benchmark")},
+met AS (
+  SELECT d.doc_id, b.item_id, b.place AS item_place, d.place - b.place AS shift, d.lows AS others, b.lows AS vals, b.slots
+  FROM d_win d JOIN b_win b USING (canon)),
+found AS (SELECT doc_id, item_id, count(DISTINCT item_place) AS n_found FROM met GROUP BY ALL),
+totals AS (SELECT item_id, count(DISTINCT place) AS n_windows FROM b_win GROUP BY ALL),
+pairs AS (
+  SELECT DISTINCT doc_id, item_id, shift, vals[k] AS val, others[k] AS other FROM met, range(1, 6) t(k) WHERE slots[k] IS NOT NULL),
+by_value AS (SELECT doc_id, item_id, shift, val, count(*) AS n, bool_or(val <> other) AS differs FROM pairs GROUP BY ALL),
+by_item AS (SELECT doc_id, item_id, avg(CASE WHEN n = 1 THEN 1.0 ELSE 0.0 END) AS agreement, bool_or(differs) AS changed FROM by_value GROUP BY ALL)
+SELECT doc_id::BIGINT AS doc_id, item_id::BIGINT AS item_id, n_windows, n_found, n_found / n_windows AS share,
+  coalesce(agreement, 1.0)::DOUBLE AS agreement, coalesce(changed, false) AS changed
+FROM found JOIN totals USING (item_id) LEFT JOIN by_item USING (doc_id, item_id)
+WHERE n_found / n_windows >= 0.8 AND coalesce(agreement, 1.0) >= 0.8
+"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "lines.*", F.sha2("text", 256).alias("text_sha256"))
@@ -138,4 +181,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY_SQL,
     "op7_warc_packages": PAGES_SQL,
+    "op9_decontaminate": LEAKS_SQL,
 }
