@@ -16,6 +16,24 @@ def distance(a, b):
     return row[-1]
 
 
+def within(a, b, most):
+    """Whether two lines are within ``most`` edits: a plain search from both ends inward."""
+    while a and b and a[0] == b[0]:
+        k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        a, b = a[k:], b[k:]
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    return most > 0 and (within(a[1:], b, most - 1) or within(a, b[1:], most - 1) or within(a[1:], b[1:], most - 1))
+
+
+def test_within_is_the_distance():
+    rng = random.Random(3)
+    for _ in range(3000):
+        a = "".join(rng.choice("ab") for _ in range(rng.randrange(9)))
+        b = "".join(rng.choice("ab") for _ in range(rng.randrange(9)))
+        assert all(within(a, b, most) == (distance(a, b) <= most) for most in range(4))
+
+
 def edited(rng, line, edits):
     out = list(line)
     for _ in range(edits):
@@ -52,7 +70,7 @@ def plain(rows, most, least):
     first = {}
     for d, k, line, i in sorted(found):
         first.setdefault(line, (d, k, i))
-    near = {a: [b for b in first if a != b and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= most and distance(a, b) <= most] for a in first}
+    near = {a: [b for b in first if a != b and min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= most and within(a, b, most)] for a in first}
     out = []
     for i, (d, t) in enumerate(rows):
         if t is None:
