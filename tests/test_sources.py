@@ -10,6 +10,7 @@ from rillcast.operators import profile as pf
 from rillcast.plans.training import training_samples
 from rillcast.sources import sensor_csv as sc
 from rillcast.sources import tables as tb
+from rillcast.sources.staged import job, stage
 
 CSV = """# Export of one sensor
 # Workspace:
@@ -214,3 +215,12 @@ def test_second_load_adds_only_new_members(spark):
     assert sorted(r.unit_id for r in twice.collect()) == [1, 2]
 
 
+def test_a_job_removes_what_it_staged(spark, tmp_path):
+    with job(spark, str(tmp_path)) as folder:
+        with job(spark, folder):
+            inner = stage(spark.range(3))
+            assert inner.count() == 3
+        outer = stage(spark.range(5))
+        assert outer.count() == 5 and len(list(tmp_path.glob("job-*/stage-*"))) == 1
+    assert list(tmp_path.iterdir()) == []
+    assert stage(spark.range(2)).count() == 2
