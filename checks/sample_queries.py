@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.inputs import (
@@ -23,6 +25,8 @@ from rillcast.config import DISCHARGE, SampleSpec
 from rillcast.functions.timeaxis import tick_time
 from rillcast.operators.regular import bounds, bucket_last, regular_blocks
 from rillcast.operators.samples import lag_table, ratio_split, samples_of_table, stride_positions
+from rillcast.session import checkpoint_dir
+from rillcast.sources.tables import audit, load_training, write_training
 from rillcast.plans.training import regular_table, target_by_terms, training_samples
 
 MULTI = f"""{WIDE},
@@ -106,6 +110,16 @@ def _(spark, sf_dir):
     return rows.withColumns({c: r(c) for c in names})
 
 
+# The whole discharge build to files, one folder per site: 15 descriptive columns, 168 lags and 24 targets.
+@check("training_files", f"""WITH {MULTI} SELECT site_id, count(*) AS row_count, CAST(15 + 168 + 24 AS INTEGER) AS column_count FROM lagged
+  JOIN (SELECT site_id, idx FROM multi) USING (site_id, idx) GROUP BY site_id""")
+def _(spark, sf_dir):
+    path = f"{checkpoint_dir(spark)}/training-{uuid.uuid4().hex}"
+    spec = SampleSpec()
+    write_training(training_samples(observations(spark, sf_dir), DISCHARGE), DISCHARGE, path, spec.lags, spec.horizons)
+    return audit(load_training(spark, path))
+
+
 # The regular table a user already has gives the same samples as the observations behind it.
 @check("samples_of_table", f"""WITH {SINGLE} SELECT {META.format(u="HOUR", h=23, cal=CALENDAR.format(t="forecast_start_time"))}, {DIGEST} FROM lagged""")
 def _(spark, sf_dir):
