@@ -199,7 +199,8 @@ def dedup_lines(docs: DataFrame, most: int = MOST, least_chars: int = LEAST_CHAR
     edits, summed over the text's lines) and class_id (the smallest doc_id in
     which one of its lines, or one linked to it, occurs first). Null texts
     stay null. Rows equal in doc_id and text are one document and keep the
-    same lines; all other columns are kept whatever their names.
+    same lines; all other columns are kept whatever their names, only one called
+    ``name`` is replaced.
     """
     if least_chars < max(most + 1, 1):
         raise ValueError("lines must be longer than the number of edits")
@@ -238,4 +239,7 @@ def dedup_lines(docs: DataFrame, most: int = MOST, least_chars: int = LEAST_CHAR
         F.aggregate(found, F.lit(0).cast("long"), lambda n, m: n + m["n_links"]).alias("n_links"),
         F.least(F.col("id"), F.array_min(F.transform(found, lambda m: m["origin"]))).alias("class_id"),
     )
-    return joined.select(F.col("row").withField("text", text).alias("row"), counts.alias("counts")).select("row.*", F.col("counts").alias(name))
+    changed = F.col("row").withField("text", text)
+    if name in docs.columns:
+        changed = changed.dropFields(name)
+    return joined.select(changed.alias("row"), counts.alias("counts")).select("row.*", F.col("counts").alias(name))

@@ -210,7 +210,7 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False, name: str = "p
 
     Each row is handled alone and nothing is shuffled. Null and clean texts
     stay as they are (an empty list); repeated rows, null ids and other columns
-    are kept whatever their names.
+    are kept whatever their names; only a column called ``name`` is replaced.
     """
     if not 16 <= len(key) <= 64:
         raise ValueError("the key must hold 16 to 64 bytes")
@@ -233,4 +233,4 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False, name: str = "p
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text"), F.lit(0).alias("_")).alias("row"), F.col("text").cast("string").alias("text"))
     spans = "array<struct<kind:string,start:int,end:int>>"
     out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, found {spans}")
-    return out.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns), F.col("found").alias(name))
+    return out.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c != name), F.col("found").alias(name))

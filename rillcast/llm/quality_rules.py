@@ -125,7 +125,8 @@ def quality_rules(docs: DataFrame, table: Sequence[Threshold] = THRESHOLDS, name
     The table is compiled into one projection; nothing is shuffled. Words are
     what stands between ASCII white space, lines what stands between line
     feeds. Null and blank texts have no words and fail the base rule. Every
-    row keeps its columns; repeated rows and null ids are judged like others.
+    row keeps its columns, only one called ``name`` is replaced; repeated rows
+    and null ids are judged like others.
     """
     return docs.withColumn(name, rules(F.col("text"), table))
 

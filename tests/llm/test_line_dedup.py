@@ -130,5 +130,7 @@ def test_repeated_rows_are_one_document_and_empty_tables(spark):
     got = sorted((str(r.doc_id), str(r.text)) for r in dedup_lines(docs).collect())
     assert got == [("1", "a b\nc"), ("1", "a b\nc"), ("2", "d"), ("None", "None")]
     assert dedup_lines(docs.limit(0)).count() == 0
+    again = dedup_lines(docs.selectExpr("*", "1 AS lines"))
+    assert again.columns == ["doc_id", "text", "lines"] and again.where("lines.n_lines = 2").count() == 3
     with pytest.raises(ValueError, match="longer"):
         dedup_lines(docs, most=4, least_chars=4)

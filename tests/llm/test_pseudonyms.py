@@ -98,3 +98,4 @@ def test_repeats_null_ids_and_empty_table(spark):
     assert pseudonymise(docs.limit(0), KEY).count() == 0
     with pytest.raises(ValueError, match="key"):
         pseudonymise(docs, b"short")
+    assert pseudonymise(docs.selectExpr("*", "1 AS private"), KEY).columns == ["doc_id", "text", "private"]

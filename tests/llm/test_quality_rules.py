@@ -63,3 +63,5 @@ def test_own_table_long_text_and_empty_table(spark):
     assert got[2].n_words == 0 and got[2].base_failed and got[2].failed == []
     assert quality_rules(docs, []).where(F.col("quality.kept")).count() == 1
     assert quality_rules(docs.limit(0)).count() == 0
+    again = quality_rules(docs.selectExpr("*", "1 AS quality"))
+    assert again.columns == ["doc_id", "text", "quality"] and again.where("quality.base_failed").count() == 1
