@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillcast.llm.token_counts import BATCH_BYTES
 from rillcast.llm.words import spread
 from rillcast.sources.staged import stage
 
 WINDOW = 5
 LEAST_LITERALS = 2
 FILTER_BITS = 22
+BATCH_BYTES = 3 << 20
 LITERAL, NUMBER, NAME, UNIT = range(4)
 # Number words and units that a re-worded question may swap.
 NUMBER_WORDS = (

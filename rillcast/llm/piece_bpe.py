@@ -20,12 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillcast.llm.token_counts import BATCH_BYTES, balanced
+from rillcast.llm.token_counts import balanced
 from rillcast.llm.words import WordTable, by_list, spread
 
 MARK = "▁"
 NONE = np.iinfo(np.int32).max
 CODE_POINTS = 0x110000
+# Words merged together, and bytes of text encoded together: both bound a task's memory, not results.
+ROUND_WORDS = 1 << 14
+PIECE_BATCH_BYTES = 1 << 20
 
 
 class PieceModel:
@@ -178,14 +181,14 @@ def one_by_one(model: PieceModel, symbols: list[int]) -> list[int]:
 class PieceEncoder(WordTable):
     """Ids of whole texts; distinct words are merged together, round by round, and kept between batches."""
 
-    def __init__(self, path: str, keep_words: int = 600_000, keep_ids: int = 8_000_000):
+    def __init__(self, path: str, keep_words: int = 250_000, keep_ids: int = 2_500_000):
         self.model = PieceModel(path)
         super().__init__(keep_words, keep_ids)
 
     def learn(self, words: list[str]) -> None:
         """Words come without the mark that stands before each."""
-        for at in range(0, len(words), 1 << 16):
-            part = words[at : at + (1 << 16)]
+        for at in range(0, len(words), ROUND_WORDS):
+            part = words[at : at + ROUND_WORDS]
             points = np.frombuffer((MARK + MARK.join(part)).encode("utf-32-le"), np.uint32)
             lengths = np.fromiter(map(len, part), np.int64, len(part)) + 1
             self.add(part, *self.with_bytes(*merge_rounds(self.model, self.model.symbols[points], lengths)))
@@ -256,7 +259,7 @@ def decode(model: PieceModel, ids: np.ndarray, lengths: np.ndarray) -> list[str]
     return [data[a:b].decode("utf-8", "piece_bytes") for a, b in zip(bounds, bounds[1:])]
 
 
-def piece_ids(docs: DataFrame, path: str, batch_bytes: int = BATCH_BYTES, decoded: bool = False) -> DataFrame:
+def piece_ids(docs: DataFrame, path: str, batch_bytes: int = PIECE_BATCH_BYTES, decoded: bool = False) -> DataFrame:
     """doc_id and ids (array of int) of every whole text, with ``decoded`` also the text decoded from these ids.
 
     Nothing is sampled or added: no begin or end ids. Null counts as the empty
