@@ -28,6 +28,8 @@ NUMBERS = re.compile(
     r"|(?<![0-9][0-9])(?<=[0-9])(?P<card>[0-9]{12,18}|[0-9]{3}(?:[ -][0-9]{4}){3}|[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
     r")"
 )
+# Country code (not 1) and groups, as many as hold 8 to 15 digits in all. A blank, point, hyphen, slash or bracket may stand between.
+ABROAD = re.compile(r"(?<![0-9A-Za-z+])\+(?P<number>[2-9][0-9]{0,2}(?:[ ./-]?\(?[0-9]+\)?)*[0-9])(?![0-9])")
 MAIL_END = re.compile(r"@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 MAIL_START = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
 SECRET_VALUE = re.compile(r"[=:]" + GAP + r"(?P<value>[A-Za-z0-9+/_-]{8,})")
@@ -37,7 +39,14 @@ KEYS = re.compile(
     r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)(?P<id>[A-Z0-9]{16})|gh[pousr]_(?P<hub>[A-Za-z0-9]{36})|xox[abprs]-(?P<chat>[A-Za-z0-9-]{10,})"
     r"|AIza(?P<api>[A-Za-z0-9_-]{35})|sk-(?P<sk>[A-Za-z0-9_-]{20,}))(?![A-Za-z0-9])"
 )
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}))")
+# The country codes' lengths follow the IBAN registry; other countries' accounts are tried at every end.
+IBAN_CHARS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18, DO=28, EE=20, EG=29,
+    ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20,
+    LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, LY=25, MC=27, MD=24, ME=22, MK=19, MR=27, MT=31, MU=30, NL=18, NO=15, PK=24, PL=28, PS=29, PT=25,
+    QA=29, RO=24, RS=22, SA=24, SC=31, SE=24, SI=19, SK=24, SM=27, ST=25, SV=28, TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20,
+)
 
 
 class Found(NamedTuple):
@@ -79,6 +88,14 @@ def phone(text: str, key: bytes, back: bool) -> str:
     return put(text, permuted_text(digits_of(text), [DIGITS] * len(digits_of(text)), key, "phone", back))
 
 
+# Country codes of two digits (ITU-T E.164); 7 has one, all others three.
+TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def calling_code(number: str) -> str:
+    return number[:1] if number[0] == "7" else number[:2] if number[:2] in TWO_DIGITS else number[:3]
+
+
 def address(text: str, key: bytes, back: bool) -> str | None:
     """An IPv4 address, kept among those of four numbers up to 255 without zeros in front."""
     parts = text.split(".")
@@ -100,10 +117,12 @@ def social(text: str, key: bytes, back: bool) -> str | None:
 
 
 def date(text: str, key: bytes, back: bool) -> str | None:
-    """A date of 1900 to 2099 as y-m-d, d.m.y or m/d/y; widths of day and month follow the text's."""
+    """A date of 1900 to 2099 as y-m-d, d.m.y, m/d/y or, where that is no date, d/m/y; widths of day and month follow the text's."""
     numbers = [int(p) for p in re.split(r"[-./]", text)]
     sign = "-" if "-" in text else "/" if "/" in text else "."
-    order = {"-": (0, 1, 2), ".": (2, 1, 0), "/": (2, 0, 1)}[sign]
+    # A day over 12 in front: images keep it, so the order can be told from them.
+    day_first = sign == "/" and numbers[0] > 12
+    order = {"-": (0, 1, 2), ".": (2, 1, 0), "/": (2, 1, 0) if day_first else (2, 0, 1)}[sign]
     try:
         day = dt.date(*(numbers[k] for k in order)).toordinal()
     except ValueError:
@@ -111,7 +130,7 @@ def date(text: str, key: bytes, back: bool) -> str | None:
     padded = all(len(p) > 1 for p in re.split(r"[-./]", text))
 
     def written(d: dt.date) -> str:
-        parts = {"-": (d.year, d.month, d.day), ".": (d.day, d.month, d.year), "/": (d.month, d.day, d.year)}[sign]
+        parts = {"-": (d.year, d.month, d.day), ".": (d.day, d.month, d.year), "/": (d.day, d.month, d.year) if day_first else (d.month, d.day, d.year)}[sign]
         return sign.join(f"{p:02d}" if padded else str(p) for p in parts)
 
     if not FIRST_DAY <= day <= LAST_DAY or written(dt.date.fromordinal(day)) != text:
@@ -119,9 +138,10 @@ def date(text: str, key: bytes, back: bool) -> str | None:
 
     def same_form(x: int) -> bool:
         # Without padding, dates whose numbers have one digit are kept apart, so the form can be told from the image.
-        return padded or not all(len(p) > 1 for p in re.split(r"[-./]", written(dt.date.fromordinal(FIRST_DAY + x))))
+        image = dt.date.fromordinal(FIRST_DAY + x)
+        return (not day_first or image.day > 12) and (padded or not all(len(p) > 1 for p in re.split(r"[-./]", written(image))))
 
-    x = permuted(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, f"date{sign}{padded}", back, same_form)
+    x = permuted(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, f"date{sign}{padded}" + "d" * day_first, back, same_form)
     return written(dt.date.fromordinal(FIRST_DAY + x))
 
 
@@ -138,6 +158,22 @@ def account(text: str, key: bytes, back: bool) -> str | None:
     return "".join(c if c == " " else next(letters) for c in text)
 
 
+def account_at(text: str, start: int, span: str, key: bytes, back: bool) -> tuple[int, str] | None:
+    """End and image of the account number that a span of capitals, digits and single blanks begins with.
+
+    It ends where its country's numbers do, elsewhere at the longest end with right check digits; no letter or digit follows.
+    """
+    length = IBAN_CHARS.get(span[:2])
+    places = [k + 1 for k, c in enumerate(span) if c != " "]
+    for n in [length] if length else range(min(len(places), 34), 14, -1):
+        if n > len(places):
+            continue
+        after = text[start + places[n - 1] : start + places[n - 1] + 1]
+        if not (after.isascii() and after.isalnum()) and (image := account(span[: places[n - 1]], key, back)) is not None:
+            return start + places[n - 1], image
+    return None
+
+
 def secret(text: str, key: bytes, back: bool) -> str:
     for alphabet in (DIGITS, HEX_SMALL, HEX_LARGE):
         if all(c in alphabet for c in text):
@@ -164,7 +200,17 @@ def found_in(text: str, key: bytes, back: bool = False) -> list[Found]:
         if name := MAIL_START.search(text, max(0, m.start() - 64), m.start()):
             take("mail", name.start(), m.end(), same_kind(name[0], key, "mail", back) + m[0])
     for m in IBAN.finditer(text):
-        take("account", *m.span(), account(m[0], key, back))
+        if ended := account_at(text, m.start(), m[1], key, back):
+            take("account", m.start(), *ended)
+    for m in ABROAD.finditer(text):
+        a, b = m.start("number"), m.start("number")
+        for group in re.finditer("[0-9]+", m["number"]):
+            if len(digits_of(m["number"][: group.end()])) > 15:
+                break
+            b = a + group.end()
+        if len(digits_of(text[a:b])) >= 8:
+            a += len(calling_code(m["number"]))
+            take("phone", a, b, phone(text[a:b], key, back))
     for m in NUMBERS.finditer(text):
         a, b = m.span()
         kind = m.lastgroup

@@ -99,3 +99,39 @@ def test_repeats_null_ids_and_empty_table(spark):
     with pytest.raises(ValueError, match="key"):
         pseudonymise(docs, b"short")
     assert pseudonymise(docs.selectExpr("*", "1 AS private"), KEY).columns == ["doc_id", "text", "private"]
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "account", "DE89 3704 0044 0532 0130 00"),
+        ("DE89 3704 0044 0532 0130 00 BY friday", "account", "DE89 3704 0044 0532 0130 00"),
+        ("DE89370400440532013000 2024", "account", "DE89370400440532013000"),
+        ("GB29 NWBK 6016 1331 9268 19 THEN 5", "account", "GB29 NWBK 6016 1331 9268 19"),
+        ("NO 1 NO9386011117947 AB12", "account", "NO9386011117947"),
+        ("le 25/12/2020 et", "date", "25/12/2020"),
+        ("le 31/1/1999.", "date", "31/1/1999"),
+        ("Tel. +49 30 901820-17, Fax", "phone", " 30 901820-17"),
+        ("+44 (0)20 7946 0958 now", "phone", " (0)20 7946 0958"),
+        ("+33 1 42 68 53 00. Et", "phone", " 1 42 68 53 00"),
+        ("+34912345678 y", "phone", "912345678"),
+        ("+358 9 1234567 on", "phone", " 9 1234567"),
+        ("+49 30 901820 20241231 7", "phone", " 30 901820"),
+    ],
+)
+def test_values_with_text_behind_them(text, kind, value):
+    found = found_in(text, KEY)
+    assert [(f.kind, text[f.start : f.end]) for f in found] == [(kind, value)]
+    hidden = replaced(text, found)
+    assert hidden != text and value not in hidden
+    assert replaced(hidden, found_in(hidden, KEY, back=True)) == text
+
+
+def test_every_slash_date_comes_back():
+    for k in range(dt.date(2019, 1, 1).toordinal(), dt.date(2021, 1, 1).toordinal()):
+        day = dt.date.fromordinal(k)
+        for form in (f"{day:%d/%m/%Y}", f"{day.day}/{day.month}/{day.year}"):
+            image = date(form, KEY, False)
+            assert date(image, KEY, True) == form
+    assert date("13/13/2020", KEY, False) is None and date("31/02/2020", KEY, False) is None
+    assert [f.kind for f in found_in("1 + 22 33, a+3 +5000, +12 items, DE89 3704 0044 0532 0130 01 X", KEY)] == []
