@@ -30,9 +30,8 @@ class Rule(NamedTuple):
 class TreeSettings(NamedTuple):
     """levels: segments that the tree tells apart, the rest of a path is one segment more.
 
-    A segment stays a constant if it holds ``least_rows`` rows and
-    ``least_share`` of its node's rows; all others of the node become one
-    wildcard. A branch whose labelled share is within ``similar_z`` standard
+    A segment stays a constant if it holds ``least_rows`` rows, whatever the
+    size of its node; all others of the node become one wildcard. A branch whose labelled share is within ``similar_z`` standard
     errors of its siblings' is merged with them. A template is rejected when
     its share of bad labels, smoothed by ``weight`` labels at its host's share
     (and the host's by as many at the overall one), reaches ``reject``.
@@ -40,7 +39,6 @@ class TreeSettings(NamedTuple):
 
     levels: int = 4
     least_rows: int = 5
-    least_share: float = 0.02
     similar_z: float = 2.0
     weight: float = 10.0
     reject: float = 0.5
@@ -69,18 +67,15 @@ def templates(paths: DataFrame, settings: TreeSettings) -> DataFrame:
 
     The tree grows a level at a time. A level counts rows by node and segment
     (partial sums first, so a hot host is no hot task) and keeps the frequent
-    segments: at most 1 / ``least_share`` a node. This table is written, so
-    its checked size decides how it is joined back.
+    segments. This table is written, so its checked size decides how it is
+    joined back.
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", settings.levels + 1)
     rows = paths.withColumns({"_segments": segments, "template": F.array().cast("array<string>")})
     for level in range(settings.levels + 1):
         rows = rows.withColumn("_segment", F.get("_segments", F.lit(level)))
         children = rows.where(F.col("_segment").isNotNull()).groupBy("host", "template", "_segment").agg(F.count("*").alias("_n"))
-        nodes = children.groupBy("host", "template").agg(F.sum("_n").alias("_all"))
-        constant = children.join(nodes, ["host", "template"]).where(
-            (F.col("_n") >= settings.least_rows) & (F.col("_n") >= settings.least_share * F.col("_all"))
-        )
+        constant = children.where(F.col("_n") >= settings.least_rows)
         kept = stage(constant.select("host", "template", "_segment", F.lit(True).alias("_constant")))
         rows = rows.join(kept, ["host", "template", "_segment"], "left").withColumn(
             "template",

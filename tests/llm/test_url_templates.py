@@ -67,3 +67,15 @@ def test_repeats_null_ids_and_empty_table(spark, labels):
     pages = spark.createDataFrame([(1, "http://a/b"), (1, "http://a/b"), (None, "http://a/b")], "page_id long, url string")
     assert judge_urls(pages, labels).count() == 3
     assert judge_urls(pages.limit(0), labels).count() == 0
+
+
+def test_a_bad_section_is_judged_alike_on_small_and_large_hosts(spark):
+    rows = []
+    for host, clean in (("small.org", 1), ("large.org", 100)):
+        rows += [(host, f"/bad/{i}", 1) for i in range(30)]
+        rows += [(host, f"/s{k}/{i}", 0) for k in range(clean) for i in range(40)] + [(host, f"/page-{i}", 0) for i in range(50)]
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, b) for i, (_, _, b) in enumerate(rows)], "page_id long, bad int")
+    got = judge_urls(pages, labels).collect()
+    assert {(r.host, r.template) for r in got if r.path.startswith("/bad/")} == {("small.org", "/bad/*"), ("large.org", "/bad/*")}
+    assert {r.page_id for r in got if r.verdict == "block"} == {i for i, r in enumerate(rows) if r[2]}
