@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillcast.llm.decontaminate import NUMBER_WORDS, UNITS, leaks
+from rillcast.llm.fill_middle import fill_in_middle, restored
+from rillcast.llm.hard_negatives import hard_negatives
 from rillcast.llm.line_dedup import dedup_lines
 from rillcast.llm.piece_bpe import piece_digests
 from rillcast.llm.pseudonyms import pseudonymise
 from rillcast.llm.quality_rules import STOP_WORDS, quality_rules
 from rillcast.llm.simhash import fingerprint_text, simhash_groups
+from rillcast.llm.substring_dedup import dedup_passages
+from rillcast.llm.text_columns import spaced_words
 from rillcast.llm.token_counts import token_counts
 from rillcast.llm.token_planes import read_planes, write_planes
 from rillcast.llm.url_templates import Rule, judge_urls
@@ -165,6 +169,62 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "lines.*", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(restored(F.col("output"), F.col("form")), 256)}
+    return made.withColumns(digests).drop("output")
+
+
+FILL_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h FROM documents),
+u AS (
+  SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS l,
+    [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS d FROM t),
+c AS (
+  SELECT *, len(l) AS n, least(d[1] % (len(l) + 1), d[2] % (len(l) + 1)) AS a, greatest(d[1] % (len(l) + 1), d[2] % (len(l) + 1)) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR d[3] % 100 >= 50 THEN 'plain' WHEN d[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_passages(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "passages.*", F.sha2(F.array_join(spaced_words(F.col("text")), " "), 256).alias("kept_sha256"))
+
+
+PASSAGES_SQL = """
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13),
+k AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS first FROM p),
+g AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS pos FROM k WHERE first < doc_id) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string([x FOR x, i IN w IF NOT list_contains(coalesce(gone, []), i)], ' '), '')) AS kept_sha256
+FROM t LEFT JOIN g USING (doc_id)
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id::BIGINT AS vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
 QUERIES = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_token_planes": op2_token_planes,
@@ -176,10 +236,16 @@ QUERIES = {
     "op8_url_templates": op8_url_templates,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op3_quality_rules": QUALITY_SQL,
     "op7_warc_packages": PAGES_SQL,
     "op9_decontaminate": LEAKS_SQL,
+    "op11_fill_middle": FILL_SQL,
+    "op12_substring_dedup": PASSAGES_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }
