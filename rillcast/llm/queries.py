@@ -197,13 +197,16 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PASSAGES_SQL = """
-WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-p AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13),
-k AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS first FROM p),
-g AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS pos FROM k WHERE first < doc_id) GROUP BY doc_id)
-SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
-  sha256(coalesce(array_to_string([x FOR x, i IN w IF NOT list_contains(coalesce(gone, []), i)], ' '), '')) AS kept_sha256
-FROM t LEFT JOIN g USING (doc_id)
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM t),
+k AS (
+  SELECT doc_id, i, CASE WHEN lead(i, 12) OVER d IS NOT NULL THEN string_agg(word, ' ') OVER (d ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) END AS win
+  FROM p WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first FROM k WHERE win IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, i + o AS i FROM f, range(13) r(o) WHERE first < doc_id),
+c AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n_kept FROM p ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN c USING (doc_id)
 """
 
 
