@@ -2,7 +2,7 @@
 
 Every window of words goes to the bucket of its minimiser, packed with its
 neighbours of the same minimiser; equal windows meet there and are told apart
-by sorting. First only minimisers and ids are counted, so that texts of
+by sorting. First only minimisers and places are sorted, so that the words of
 minimisers in one document never travel.
 """
 
@@ -24,8 +24,12 @@ from rillcast.sources.staged import stage
 WINDOW = 13
 # A minimiser of more runs than this is hot: its windows go to buckets of their own, merged before the shuffle.
 HOT_RUNS = 512
+# One text in SAMPLE is looked at for minimisers that OFTEN of those texts have; so many at most are known as hot.
+SAMPLE, OFTEN, KNOWN = 64, 8, 1_000_000
 BATCH_BYTES = 2 << 20
 BATCH_RUNS = 1 << 15
+# Merged spans of up to this many (24 MB) are broadcast to the texts; more are joined by shuffle.
+BROADCAST_SPANS = 1_000_000
 
 
 def parts(batches, column: str) -> Iterator[pa.RecordBatch]:
@@ -52,31 +56,107 @@ def repeated_texts(rows: DataFrame) -> DataFrame:
     return stage(groups.where("first < last").drop("last"))
 
 
-def minimisers(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id and minimiser of every run."""
+def minimisers(rows: DataFrame, size: int, known: np.ndarray | None = None) -> DataFrame:
+    """doc_id, d1, start (word) and minimiser of every run whose minimiser isn't known already."""
+    known = rows.sparkSession.sparkContext.broadcast(np.empty(0, np.int64) if known is None else known)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text"):
-            text, _, _, mini = super_kmers(*split_words(batch.column("text")), size)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(text)), pa.array(mini)], names=["doc_id", "mini"])
+            text, start, _, mini = super_kmers(*split_words(batch.column("text")), size)
+            new = np.flatnonzero(~member(mini, known.value))
+            own = [batch.column(c).take(pa.array(text[new])) for c in ("doc_id", "d1")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(start[new], pa.int32()), pa.array(mini[new])], names=["doc_id", "d1", "start", "mini"])
 
-    return rows.select("doc_id", "text").mapInArrow(run, "doc_id long, mini long")
+    return rows.select("doc_id", "d1", "text").mapInArrow(run, "doc_id long, d1 long, start int, mini long")
 
 
-def packed_runs(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id, d1, start (word), mini and run (its words) of every run."""
+def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values a sorted array holds."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def hot_minimisers(rows: DataFrame, size: int) -> np.ndarray:
+    """Minimisers that a sample finds in several texts of it, sorted: those of very common passages.
+
+    They needn't be counted to be known as repeated. Which ones are known here
+    decides the work, not the result.
+    """
+    some = minimisers(rows.where(F.pmod(F.col("d1"), F.lit(SAMPLE)) == 0), size)
+    counts = some.groupBy("mini").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= OFTEN)
+    found = counts.orderBy(F.desc("n"), "mini").limit(KNOWN).select("mini").toArrow()
+    return np.sort(found.column("mini").to_numpy())
+
+
+def repeated_runs(runs: DataFrame) -> DataFrame:
+    """doc_id, d1, start and hot (more than ``HOT_RUNS`` runs) of the runs whose minimiser several documents have.
+
+    Runs come sorted by minimiser and doc_id; of a minimiser no more than
+    ``HOT_RUNS`` runs, or those of its first document, are held.
+    """
+
+    def told(table: pa.Table, rows: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+        taken = table.select(["doc_id", "d1", "start"]).take(pa.array(rows)).combine_chunks()
+        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in taken.columns), pa.array(hot)], names=["doc_id", "d1", "start", "hot"])
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        hot_now = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            if not len(table):
+                continue
+            mini, doc = table.column("mini").to_numpy(), table.column("doc_id").to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], mini[1:] != mini[:-1]]))
+            end = np.append(first[1:], len(mini))
+            several, hot = doc[first] != doc[end - 1], end - first > HOT_RUNS
+            if hot_now is not None and mini[0] == hot_now:
+                several[0] = hot[0] = True
+            whole = np.ones(len(first), bool)
+            whole[-1] = several[-1] and hot[-1]
+            hot_now = mini[-1] if whole[-1] else None
+            sizes = end - first
+            keep = np.flatnonzero(np.repeat(several & whole, sizes))
+            if len(keep):
+                yield told(table, keep, np.repeat(hot, sizes)[keep])
+            held = None if whole[-1] else table.slice(int(first[-1]))
+        if held is not None and held.column("doc_id")[0] != held.column("doc_id")[-1]:
+            yield told(held, np.arange(len(held)), np.zeros(len(held), bool))
+
+    dealt = runs.repartition("mini").sortWithinPartitions("mini", "doc_id")
+    return dealt.mapInArrow(run, "doc_id long, d1 long, start int, hot boolean")
+
+
+def packed_runs(rows: DataFrame, size: int, known: np.ndarray) -> DataFrame:
+    """doc_id, d1, start (word), mini, hot and run (its words) of the runs that ``rows`` lists (starts, hots) and those of known minimisers."""
+    known = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "text"):
             split = split_words(batch.column("text"))
-            found = super_kmers(*split, size)
-            for at in range(0, len(found[0]), BATCH_RUNS):
-                text, start, windows, mini = (c[at : at + BATCH_RUNS] for c in found)
-                own = [batch.column(c).take(pa.array(text)) for c in ("doc_id", "d1")]
-                columns = [*own, pa.array(start, pa.int32()), pa.array(mini), packed(*split, text, start, windows, size).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "d1", "start", "mini", "run"])
-
-    return rows.select("doc_id", "d1", "text").mapInArrow(run, "doc_id long, d1 long, start int, mini long, run string")
+            text, start, windows, mini = super_kmers(*split, size)
+            starts = batch.column("starts")
+            owner = np.repeat(np.arange(len(starts)), pc.fill_null(pc.list_value_length(starts), 0).to_numpy(zero_copy_only=False))
+            listed = (owner << 32) + starts.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.argsort(listed)
+            listed, hots = listed[order], batch.column("hots").flatten().to_numpy(zero_copy_only=False)[order]
+            own = (text << 32) + start
+            often = member(mini, known.value)
+            keep = np.flatnonzero(often | member(own, listed))
+            hot = often[keep]
+            if len(listed):
+                at = np.minimum(np.searchsorted(listed, own[keep]), len(listed) - 1)
+                hot = hot | (hots[at].astype(bool) & (listed[at] == own[keep]))
+            for at in range(0, len(keep), BATCH_RUNS):
+                i, h = keep[at : at + BATCH_RUNS], hot[at : at + BATCH_RUNS]
+                named = [batch.column(c).take(pa.array(text[i])) for c in ("doc_id", "d1")]
+                words = packed(*split, text[i], start[i], windows[i], size).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([*named, pa.array(start[i], pa.int32()), pa.array(mini[i]), pa.array(h), words], names=["doc_id", "d1", "start", "mini", "hot", "run"])
+
+    return rows.select("doc_id", "d1", "text", "starts", "hots").mapInArrow(run, "doc_id long, d1 long, start int, mini long, hot boolean, run string")
 
 
 def bucket_spans(runs: DataFrame, size: int) -> DataFrame:
@@ -122,10 +202,10 @@ def hot_spans(runs: DataFrame, size: int) -> DataFrame:
     merged = runs.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     words = merged.select(*name, "first", "last", F.split("run", " ").alias("w"))
     window = F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.array_join(F.slice("w", i + 1, size), " "))
-    windows = stage(words.select("r1", "r2", "first", "last", F.posexplode(window).alias("place", "window")))
+    windows = words.select("r1", "r2", "first", "last", F.posexplode(window).alias("place", "window"))
     several = windows.groupBy("window").agg(F.min("first").alias("origin"), F.max("last").alias("last")).where("origin < last")
     found = windows.select("r1", "r2", "place", "window").join(several.select("window", "origin"), "window")
-    by_run = stage(found.groupBy("r1", "r2").agg(F.collect_list(F.struct("place", "origin")).alias("found")))
+    by_run = found.groupBy("r1", "r2").agg(F.collect_list(F.struct("place", "origin")).alias("found"))
     held = runs.select("doc_id", "d1", "start", *name).join(by_run, ["r1", "r2"])
     late = F.filter("found", lambda x: x["origin"] < F.col("doc_id"))
     place = F.col("start") + F.col("place")
@@ -134,12 +214,34 @@ def hot_spans(runs: DataFrame, size: int) -> DataFrame:
     )
 
 
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """doc_id, d1 and spans of every text, those that touch made one."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("spans")
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)) << 32
+            first, end = (lists.flatten().field(c).to_numpy(zero_copy_only=False) + owner for c in ("a", "b"))
+            order = np.argsort(first, kind="stable")
+            first, reach = first[order], np.maximum.accumulate(end[order])
+            new = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]])) if len(first) else np.empty(0, np.int64)
+            place, last = first[new], reach[np.append(new[1:], len(first)) - 1] if len(first) else reach
+            fields = pa.StructArray.from_arrays([pa.array(x & 0xFFFFFFFF, pa.int32()) for x in (place, last)], names=["a", "b"])
+            offsets = pa.array(np.searchsorted(place >> 32, np.arange(len(lists) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("d1"), pa.ListArray.from_arrays(offsets, fields)], names=["doc_id", "d1", "spans"])
+
+    by_doc = spans.groupBy("doc_id", "d1").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return by_doc.mapInArrow(run, "doc_id long, d1 long, spans array<struct<a:int,b:int>>")
+
+
 def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
-    """Spans of all windows that start in an earlier document, of distinct texts."""
-    counts = minimisers(rows, size).groupBy("mini").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
-    several = stage(counts.where("lo < hi").select("mini", (F.col("n") > HOT_RUNS).alias("hot")))
-    runs = stage(packed_runs(rows, size).join(counted(several), "mini"))
-    return bucket_spans(runs.where("NOT hot"), size).unionByName(hot_spans(runs.where("hot"), size))
+    """doc_id, d1 and spans (of words) of the windows that start in an earlier document, of distinct texts."""
+    known = hot_minimisers(rows, size)
+    named = repeated_runs(minimisers(rows, size, known)).groupBy("doc_id", "d1")
+    lists = stage(named.agg(F.collect_list("start").alias("starts"), F.collect_list("hot").alias("hots")))
+    runs = packed_runs(rows.join(lists, ["doc_id", "d1"], "left"), size, known)
+    spans = bucket_spans(runs.where("NOT hot"), size).unionByName(hot_spans(runs.where("hot"), size))
+    return merged_spans(spans)
 
 
 def without_spans(texts: pa.Array, spans: list[list[tuple[int, int]]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -174,7 +276,9 @@ def dedup_passages(docs: DataFrame, size: int = WINDOW, name: str = "passages")
     rows = text_rows(docs)
     copies = repeated_texts(rows)
     firsts = rows.join(counted(copies), ["d1", "d2"], "left").where("first IS NULL OR doc_id = first").select("doc_id", "d1", "text")
-    by_doc = repeated_spans(firsts, size).groupBy("doc_id", "d1").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    by_doc = stage(repeated_spans(firsts, size))
+    if (by_doc.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_SPANS:
+        by_doc = F.broadcast(by_doc)
 
     @F.arrow_udf("struct<text:string,n_words:bigint,n_removed:bigint>")
     def cut(texts: pa.Array, spans: pa.Array, copied: pa.Array) -> pa.Array:

@@ -51,6 +51,10 @@ def corpus(seed, n=120):
 @pytest.mark.parametrize("size", [3, 13])
 def test_windows_against_plain(spark, monkeypatch, hot, size):
     monkeypatch.setattr(sd, "HOT_RUNS", hot)
+    if hot == 6:
+        monkeypatch.setattr(sd, "SAMPLE", 1)
+        monkeypatch.setattr(sd, "OFTEN", 12)
+        monkeypatch.setattr(sd, "BROADCAST_SPANS", 0)
     rows = corpus(hot + size) + [(None, "a " * 40), (None, None), (5, "a " * 200), (5, "w1 w2 " * 20)]
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, passages string, a int").repartition(5)
     got = sorted(sd.dedup_passages(docs, size).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["text"] or ""))
