@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillcast.llm.segment_bounds import FINEST, SLACK, as_rows, candidates, exact_scores, kth_largest, levels, summaries
+from rillcast.llm.segment_bounds import EDGE, FINEST, SLACK, as_rows, candidates, exact_scores, kth_largest, levels, summaries
 from rillcast.sources.staged import stage
 
 # Vectors and anchors of one unit of work, about.
@@ -74,12 +74,14 @@ def widest(*tables: pa.Table) -> int:
 
 
 def first_rows(row: np.ndarray, score: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
-    """Places of the first ``n`` of every row number, by falling score, then id."""
+    """Places of the first ``n`` of every row number (they come sorted), by falling score, then id."""
+    near = np.flatnonzero(score >= kth_largest(row, score, n, int(row[-1]) + 1)[row]) if len(row) else np.empty(0, np.int64)
+    row, score, ids = row[near], score[near], ids[near]
     order = np.lexsort((ids, -score, row))
     own = row[order]
     first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.empty(0, np.int64)
     place = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
-    return order[place < n]
+    return near[order[place < n]]
 
 
 def unit_positives(anchors: pa.Table, vectors: pa.Table, n: int) -> Iterator[tuple]:
@@ -117,25 +119,31 @@ def unit_negatives(anchors: pa.Table, vectors: pa.Table, n: int, low: tuple[int,
     scores = anchors.column("scores").to_pylist()
     for at in range(0, len(left.ids), ANCHORS):
         end = min(at + ANCHORS, len(left.ids))
-        other = left.labels[at:end, None] != right.labels[None, :]
+        turns = []
         for turn in range(max(map(len, scores[at:end]))):
             own = [s[turn] if turn < len(s) else None for s in scores[at:end]]
-            ranges = [(1, 0) if s is None else score_range(s, low, high) for s in own]
-            least, most = np.array(ranges, np.float64).T
+            ranges = np.array([(1, 0) if s is None else score_range(s, low, high) for s in own], object)
+            turns.append((np.array([s or 0 for s in own], np.int64), *np.clip(ranges, -EDGE, EDGE - 1).astype(np.int64).T))
+        wide = []
+        for _, least, most in turns:
             # Beyond 2**53 a range is rounded as a double: what may lie inside and what does differ by this.
-            room = SLACK * (np.abs(least) + np.abs(most)) + SLACK
+            room = SLACK * (np.abs(least.astype(float)) + np.abs(most.astype(float))) + SLACK
+            wide.append((least - room, least + room, most - room, most + room, least <= most))
 
-            def keep(a, b, lower, upper, rows=end - at, least=least, most=most, room=room):
-                inside = (lower >= (least + room)[a]) & (upper <= (most - room)[a])
+        def keep(a, b, lower, upper, rows=end - at, wide=wide):
+            left = np.zeros(len(a), bool)
+            for least, surely_least, surely_most, most, some in wide:
+                inside = (lower >= surely_least[a]) & (upper <= surely_most[a])
                 best = kth_largest(a[inside], lower[inside], n, rows)
-                return (upper >= np.maximum(least - room, best)[a]) & (lower <= (most + room)[a])
-
-            a, b = candidates(left.some(at, end), right.levels, (least <= most)[:, None] & other, keep)
-            score = exact_scores(left.x[at:end], right.x, a, b)
-            fits = np.array([ranges[i][0] <= s <= ranges[i][1] for i, s in zip(a.tolist(), score.tolist())], bool)
-            a, b, score = a[fits], b[fits], score[fits]
-            best = first_rows(a, score, right.ids[b], n)
-            yield a[best] + at, b[best], score[best], np.array([own[i] for i in a[best].tolist()], np.int64)
+                left |= (upper >= np.maximum(least, best)[a]) & (lower <= most[a]) & some[a]
+            return left
+
+        a, b = candidates(left.some(at, end), right.levels, left.labels[at:end, None] != right.labels[None, :], keep)
+        score = exact_scores(left.x[at:end], right.x, a, b)
+        for own, least, most in turns:
+            fits = np.flatnonzero((score >= least[a]) & (score <= most[a]))
+            best = fits[first_rows(a[fits], score[fits], right.ids[b[fits]], n)]
+            yield a[best] + at, b[best], score[best], own[a[best]]
 
 
 def dealt(rows: DataFrame, parts: int, name: str) -> DataFrame:

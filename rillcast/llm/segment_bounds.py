@@ -19,6 +19,8 @@ FINEST = 16
 SLACK = 1e-9
 # Pairs looked at together.
 PAIR_ROWS = 1 << 16
+# One pair in so many is many.
+DENSE = 16
 # Integers up to this are exact in a double.
 EXACT = 1 << 53
 EDGE = 1 << 63
@@ -56,18 +58,28 @@ def levels(means: np.ndarray, deviations: np.ndarray, width: int) -> list[tuple[
     return out
 
 
+def products(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows a[i] of x and b[i] of y: all of them by matrices where many are asked for."""
+    if len(a) * DENSE > len(x) * len(y):
+        return (x @ y.T)[a, b]
+    out = np.empty(len(a))
+    for at in range(0, len(a), PAIR_ROWS):
+        out[at : at + PAIR_ROWS] = np.einsum("ij,ij->i", x[a[at : at + PAIR_ROWS]], y[b[at : at + PAIR_ROWS]])
+    return out
+
+
 def exact_scores(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows a[i] of x and b[i] of y; beyond the range of a long they end at its ends."""
+    """Inner products as whole numbers; beyond the range of a long they end at its ends."""
     largest = float(np.abs(x).max(initial=0)) * float(np.abs(y).max(initial=0)) * x.shape[1]
     if largest < EXACT:
-        return np.einsum("ij,ij->i", x[a], y[b]).astype(np.int64)
-    products = [sum(int(p) * int(q) for p, q in zip(x[i].tolist(), y[j].tolist())) for i, j in zip(a.tolist(), b.tolist())]
-    return np.array([max(-EDGE, min(EDGE - 1, p)) for p in products], np.int64)
+        return products(x, y, a, b).astype(np.int64)
+    whole = [sum(int(p) * int(q) for p, q in zip(x[i].tolist(), y[j].tolist())) for i, j in zip(a.tolist(), b.tolist())]
+    return np.array([max(-EDGE, min(EDGE - 1, p)) for p in whole], np.int64)
 
 
 def kth_largest(row: np.ndarray, value: np.ndarray, k: int, n_rows: int) -> np.ndarray:
-    """Per row number the k-th largest of its values; minus infinity where there are fewer. Row numbers come sorted."""
-    out = np.full(n_rows, -np.inf)
+    """Per row number the k-th largest of its values; the least there is where there are fewer. Row numbers come sorted."""
+    out = np.full(n_rows, -np.inf if value.dtype.kind == "f" else -EDGE, value.dtype)
     bounds = np.searchsorted(row, np.arange(n_rows + 1)).tolist()
     for i, (start, end) in enumerate(zip(bounds, bounds[1:])):
         if end - start >= k:
@@ -85,19 +97,9 @@ def candidates(
     still matter. Bounds end where a long does. All pairs get the coarsest bounds, each finer level only
     those that are left.
     """
-    (width, mx, dx), (_, my, dy) = xs[0], ys[0]
-    middle, swing = width * (mx @ my.T), dx @ dy.T
     a, b = np.nonzero(allowed)
-    for level in range(len(xs)):
-        if level:
-            (width, mx, dx), (_, my, dy) = xs[level], ys[level]
-            middle, swing = np.empty(len(a)), np.empty(len(a))
-            for at in range(0, len(a), PAIR_ROWS):
-                i, j = a[at : at + PAIR_ROWS], b[at : at + PAIR_ROWS]
-                middle[at : at + PAIR_ROWS] = width * np.einsum("ij,ij->i", mx[i], my[j])
-                swing[at : at + PAIR_ROWS] = np.einsum("ij,ij->i", dx[i], dy[j])
-        else:
-            middle, swing = middle[a, b], swing[a, b]
+    for (width, mx, dx), (_, my, dy) in zip(xs, ys):
+        middle, swing = width * products(mx, my, a, b), products(dx, dy, a, b)
         room = swing + SLACK * (np.abs(middle) + swing) + SLACK
         left = keep(a, b, *np.clip([middle - room, middle + room], -float(EDGE), float(EDGE)))
         a, b = a[left], b[left]
