@@ -172,6 +172,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: floa
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents that hold no item, with their columns."""
-    found = stage(leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("_leak_id"), F.col("digest").alias("_leak_digest")).distinct())
-    same = (F.xxhash64(docs["text"].cast("string")) == F.col("_leak_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_leak_id"))
-    return docs.join(found, same, "left_anti")
+    found = stage(leaks(docs, benchmark, **settings).select("doc_id", "digest").distinct())
+    same = (F.xxhash64(F.col("row.text").cast("string")) == F.col("digest")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id"))
+    return docs.select(F.struct("*").alias("row")).join(found, same, "left_anti").select("row.*")

@@ -228,9 +228,9 @@ def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """
     groups = simhash_groups(docs, **settings)
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
-    first = stage(groups.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_first_id"), F.col("first.digest").alias("_first_digest")))
-    same = (F.xxhash64(docs["text"].cast("string")) == F.col("_first_digest")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_first_id"))
-    return docs.join(first, same, "left_semi")
+    first = stage(groups.groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.digest"))
+    same = (F.xxhash64(F.col("row.text").cast("string")) == F.col("digest")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id"))
+    return docs.select(F.struct("*").alias("row")).join(first, same, "left_semi").select("row.*")
 
 
 def fingerprint_text(fp: Column) -> Column:

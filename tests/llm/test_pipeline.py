@@ -4,11 +4,12 @@ import random
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 from test_decontaminate import plain_leaks
 from test_line_dedup import edited
 from test_line_dedup import plain as plain_lines
+from test_near_copies import plain as plain_copies
 from test_quality_rules import plain as plain_quality
-from test_simhash import plain_fingerprint, plain_groups
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -34,9 +35,8 @@ def expected(rows, items):
     rows = [(d, t) for d, t in rows if plain_quality(t)["kept"]]
     cleaned = plain_lines(rows, 2, 32)
     rows = [(d, c[0]) for (d, _), c in zip(rows, cleaned) if c[2] < c[1] or not c[2]]
-    prints = {d: plain_fingerprint(t) for d, t in rows}
-    groups = plain_groups(prints, [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3])
-    rows = [(d, t) for d, t in rows if groups[d] == d]
+    left = set(plain_copies(rows))
+    rows = [(d, t) for d, t in rows if d in left]
     leaked = {d for d, _ in plain_leaks(rows, items)}
     rows = [(d, t) for d, t in rows if d not in leaked]
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
@@ -59,6 +59,9 @@ def test_pipeline_against_brute_force(spark, odd_texts, tmp_path):
 def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "s", 0)], COLUMNS)
+    names = ["_lines", "lines", "row", "digest", "_first_id", "_first_digest", "_leak_id", "_leak_digest", "first", "root", "a b", "a.b"]
+    for c in names:
+        docs = docs.withColumn(c, F.lit("x"))
     for name, function in corpus_pipeline.STAGES[:-1]:
         for table in (docs, docs.limit(0)):
             result = function(spark, table, str(tmp_path))
@@ -69,5 +72,5 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
 
 def test_registered_queries():
     names = {name for name in entry.queries() if name.startswith("op") and name[2].isdigit()}
-    assert {int(name[2:].split("_")[0]) for name in names} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(name[2:].split("_")[0]) for name in names} == set(range(1, 14)) and "pipeline" in entry.queries()
     assert os.path.samefile(corpus_pipeline.__file__, os.path.join(os.path.dirname(entry.__file__), "corpus_pipeline.py"))
