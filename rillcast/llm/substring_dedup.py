@@ -22,10 +22,10 @@ from rillcast.llm.words import spread
 from rillcast.sources.staged import stage
 
 WINDOW = 13
-# A minimiser of more runs than this is hot: its windows go to buckets of their own, merged before the shuffle.
-HOT_RUNS = 512
+# A minimiser of more runs than this (some 4 MB) is hot: its windows go to buckets of their own, merged before the shuffle.
+HOT_RUNS = 1 << 15
 # One text in SAMPLE is looked at for minimisers that OFTEN of those texts have; so many at most are known as hot.
-SAMPLE, OFTEN, KNOWN = 64, 8, 1_000_000
+SAMPLE, OFTEN, KNOWN = 64, HOT_RUNS // 64, 1_000_000
 BATCH_BYTES = 2 << 20
 BATCH_RUNS = 1 << 15
 # Merged spans of up to this many (24 MB) are broadcast to the texts; more are joined by shuffle.
@@ -160,7 +160,7 @@ def packed_runs(rows: DataFrame, size: int, known: np.ndarray) -> DataFrame:
 
 
 def bucket_spans(runs: DataFrame, size: int) -> DataFrame:
-    """doc_id, d1 and span (first word and the one behind the last) of windows that an earlier document holds.
+    """doc_id, d1 and spans (first word and the one behind the last) of windows that an earlier document holds.
 
     A bucket's runs stand together, sorted by minimiser; whole minimisers are
     taken from the stream, of which none has more than ``HOT_RUNS`` runs.
@@ -178,6 +178,8 @@ def bucket_spans(runs: DataFrame, size: int) -> DataFrame:
             [*own, pa.array(start + place[first], pa.int32()), pa.array(start + place[last] + size, pa.int32())], names=["doc_id", "d1", "a", "b"]
         )
 
+    both = F.array(F.struct("a", "b")).alias("spans")
+
     def run(batches) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in parts(batches, "run"):
@@ -193,7 +195,7 @@ def bucket_spans(runs: DataFrame, size: int) -> DataFrame:
         if held:
             yield spans(pa.Table.from_batches(held))
 
-    return runs.repartition("mini").sortWithinPartitions("mini").mapInArrow(run, "doc_id long, d1 long, a int, b int")
+    return runs.repartition("mini").sortWithinPartitions("mini").mapInArrow(run, "doc_id long, d1 long, a int, b int").select("doc_id", "d1", both)
 
 
 def hot_spans(runs: DataFrame, size: int) -> DataFrame:
@@ -208,10 +210,8 @@ def hot_spans(runs: DataFrame, size: int) -> DataFrame:
     by_run = found.groupBy("r1", "r2").agg(F.collect_list(F.struct("place", "origin")).alias("found"))
     held = runs.select("doc_id", "d1", "start", *name).join(by_run, ["r1", "r2"])
     late = F.filter("found", lambda x: x["origin"] < F.col("doc_id"))
-    place = F.col("start") + F.col("place")
-    return held.select("doc_id", "d1", "start", F.explode(F.transform(late, lambda x: x["place"])).alias("place")).select(
-        "doc_id", "d1", place.alias("a"), (place + size).alias("b")
-    )
+    spans = F.transform(late, lambda x: F.struct((F.col("start") + x["place"]).alias("a"), (F.col("start") + x["place"] + size).alias("b")))
+    return held.select("doc_id", "d1", spans.alias("spans")).where(F.size("spans") > 0)
 
 
 def merged_spans(spans: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def merged_spans(spans: DataFrame) -> DataFrame:
             offsets = pa.array(np.searchsorted(place >> 32, np.arange(len(lists) + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("d1"), pa.ListArray.from_arrays(offsets, fields)], names=["doc_id", "d1", "spans"])
 
-    by_doc = spans.groupBy("doc_id", "d1").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    by_doc = spans.groupBy("doc_id", "d1").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return by_doc.mapInArrow(run, "doc_id long, d1 long, spans array<struct<a:int,b:int>>")
 
 
@@ -239,7 +239,7 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     known = hot_minimisers(rows, size)
     named = repeated_runs(minimisers(rows, size, known)).groupBy("doc_id", "d1")
     lists = stage(named.agg(F.collect_list("start").alias("starts"), F.collect_list("hot").alias("hots")))
-    runs = packed_runs(rows.join(lists, ["doc_id", "d1"], "left"), size, known)
+    runs = stage(packed_runs(rows.join(lists, ["doc_id", "d1"], "left"), size, known))
     spans = bucket_spans(runs.where("NOT hot"), size).unionByName(hot_spans(runs.where("hot"), size))
     return merged_spans(spans)
 
