@@ -28,6 +28,7 @@ from rillcast.operators import evaluate as ev
 from rillcast.operators import live, models, prep
 from rillcast.session import checkpoint_dir
 from rillcast.sources import sensor_csv as sc
+from rillcast.sources.snapshots import stored_predictions, upsert_predictions
 from rillcast.sources import tables as tb
 from rillcast.sources.staged import stage
 
@@ -143,9 +144,9 @@ QUALIFY row_number() OVER (PARTITION BY target_variable, site_id, history_end_ti
 def _(spark, sf_dir):
     path = folder(spark, "predictions")
     rows = stage(forecasts(spark, sf_dir))
-    tb.upsert_predictions(rows, path)
-    tb.upsert_predictions(rows.where("site_id = 2").withColumn("prediction", F.col("prediction") * 1.0123456789), path)
-    return spark.read.parquet(path).select(
+    upsert_predictions(rows, path)
+    upsert_predictions(rows.where("site_id = 2").withColumn("prediction", F.col("prediction") * 1.0123456789), path)
+    return stored_predictions(spark, path).select(
         "source_datastream_id", "target_variable", "site_id", "horizon", "history_end_time", r("prediction").alias("prediction")
     )
 

@@ -11,7 +11,7 @@ from checks.live_queries import FORECAST, LIVE_CLIP, ON_HOUR, PRED_COLUMNS, even
 from checks.registry import check, r, rsql
 
 from rillcast.session import checkpoint_dir
-from rillcast.sources.tables import append_batch, current_predictions
+from rillcast.sources.snapshots import stored_predictions
 from rillcast.streaming import live as stream
 
 PARTS = 4
@@ -36,12 +36,8 @@ arrived AS (SELECT *, coalesce(datetime_utc > max(datetime_utc) OVER (PARTITION
 @check("stream_gate", f"WITH {ARRIVAL} SELECT datastream_id, site_id, variable_id, datetime_utc, is_newest FROM arrived")
 def _(spark, sf_dir):
     base = _arrivals(spark, sf_dir)
-    stream.prepare_streams(spark)
-    judged = stream.judge_stream(stream.read_events(spark, f"{base}/events", 1))
-    query = stream.start(
-        judged, lambda df, i: append_batch(df, f"{base}/judged", i), f"{base}/checkpoint", once=True
-    )
-    query.awaitTermination()
+    arriving = stream.read_events(spark, f"{base}/events", 1)
+    stream.start(arriving, stream.judge_into(base), f"{base}/checkpoint", once=True).awaitTermination()
     return spark.read.parquet(f"{base}/judged").select(
         "datastream_id", "site_id", "variable_id", "datetime_utc", "is_newest"
     )
@@ -57,13 +53,12 @@ SEMI JOIN (SELECT datastream_id AS source_datastream_id FROM arrived WHERE is_ne
 @check("stream_forecast", f"WITH {ARRIVED_FORECAST}")
 def _(spark, sf_dir):
     base = _arrivals(spark, sf_dir)
-    stream.prepare_streams(spark)
+    stream.write_observations(events(spark, sf_dir), f"{base}/observations")
     handler = stream.Forecaster(
-        f"{base}/events", live_registry(spark), f"{base}/out", horizons=LIVE_HORIZONS, clip=LIVE_CLIP
+        f"{base}/observations", live_registry(spark), f"{base}/out", horizons=LIVE_HORIZONS, clip=LIVE_CLIP
     )
-    judged = stream.judge_stream(stream.read_events(spark, f"{base}/events", 2))
-    stream.start(judged, handler, f"{base}/checkpoint", once=True).awaitTermination()
-    rows = current_predictions(spark, f"{base}/out/predictions")
+    stream.start(stream.read_events(spark, f"{base}/events", 2), handler, f"{base}/checkpoint", once=True).awaitTermination()
+    rows = stored_predictions(spark, f"{base}/out/predictions")
     return rows.select(*PRED_COLUMNS.split(", "), r("prediction").alias("prediction"))
 
 
@@ -87,14 +82,13 @@ def _(spark, sf_dir):
     base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     e = events(spark, sf_dir)
     at = (e.agg(F.max("datastream_id")).first()[0] + 1) // 2
-    e.write.parquet(f"{base}/observations")
+    # The first half is stored; the stream stores the second as it arrives.
+    stream.write_observations(e.where(F.col("datastream_id") < at), f"{base}/observations")
     e.where(F.col("datastream_id") >= at).write.parquet(f"{base}/events")
-    stream.prepare_streams(spark)
-    history = spark.read.parquet(f"{base}/observations").where(F.col("datastream_id") < at)
     handler = stream.Forecaster(
-        f"{base}/observations", live_registry(spark), f"{base}/out", horizons=LIVE_HORIZONS, clip=LIVE_CLIP
+        f"{base}/observations", live_registry(spark), f"{base}/out", horizons=LIVE_HORIZONS, clip=LIVE_CLIP,
+        history=spark.read.parquet(f"{base}/observations"), store_events=True,
     )
-    judged = stream.judge_stream(stream.read_events(spark, f"{base}/events", 250), history)
-    stream.start(judged, handler, f"{base}/checkpoint", once=True).awaitTermination()
-    rows = current_predictions(spark, f"{base}/out/predictions")
+    stream.start(stream.read_events(spark, f"{base}/events", 250), handler, f"{base}/checkpoint", once=True).awaitTermination()
+    rows = stored_predictions(spark, f"{base}/out/predictions")
     return rows.select(*PRED_COLUMNS.split(", "), r("prediction").alias("prediction"))

@@ -173,6 +173,28 @@ def halo(df: DataFrame, tick: str, block: int, before: int, after: int) -> DataF
     ).withColumn("core", floor_div(t, block) == F.col("block"))
 
 
+def largest_before(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, known: DataFrame | None = None, block: int = 4096
+) -> DataFrame:
+    """Add ``name``: the largest ``value`` of the rows of the series before each row, null if there is none.
+
+    Rows are ordered by ``order`` (a whole number, null first; of equal ones
+    the smaller value first) and cut into blocks of it. ``known`` holds
+    ``keys`` and ``value`` of what came before all rows. Only one row per
+    block crosses a border.
+    """
+    first = -(2**62)
+    rows = df.withColumn("_order", F.coalesce(F.col(order).cast("long"), F.lit(first))).withColumn("_block", floor_div(F.col("_order"), block))
+    heads = rows.groupBy(*keys, "_block").agg(F.max(value).alias(value))
+    if known is not None:
+        heads = heads.unionByName(known.select(*keys, F.lit(first).cast("long").alias("_block"), value))
+    so_far = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    handed = heads.withColumn(value, F.max(value).over(so_far)).where(F.col(value).isNotNull())
+    both = rows.withColumn("_handed", F.lit(False)).unionByName(handed.withColumn("_handed", F.lit(True)), allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_block").orderBy(F.desc("_handed"), "_order", value).rowsBetween(Window.unboundedPreceding, -1)
+    return both.withColumn(name, F.max(value).over(inside)).where("NOT _handed").drop("_handed", "_order", "_block")
+
+
 def latest_rows(df: DataFrame, keys: Sequence[str], time: str, tie: str) -> DataFrame:
     """Per key the row with the latest time, the larger ``tie`` deciding.
 

@@ -39,17 +39,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return prepare(spark)
 
 
+# Folders made for sessions on one machine that name none, by application.
+_own_folders: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage and stream state.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (tests, one machine) is a temporary folder made.
+    on one machine (tests) is a temporary folder made, one per application.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="rillcast-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="rillcast-")
+    return _own_folders[context.applicationId]

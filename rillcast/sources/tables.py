@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillcast.config import Target
-from rillcast.operators.live import CSV_COLUMNS, PREDICTION_KEY, upsert
+from rillcast.operators.live import CSV_COLUMNS, PREDICTION_KEY
 from rillcast.operators.samples import from_columns, to_columns
 from rillcast.sources.staged import stage
 
@@ -197,6 +197,22 @@ def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the stored batches that were written to their end, in order."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    folders = [s.getPath() for s in system.listStatus(place) if s.getPath().getName().startswith("batch_id=")]
+    whole = [f for f in folders if system.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(int(f.getName().removeprefix("batch_id=")) for f in whole)
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch_id={batch_id}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def current_predictions(spark: SparkSession, path: str) -> DataFrame:
     """The latest stored prediction per key: later batches win, then the larger source id."""
     df = spark.read.parquet(path)
@@ -208,29 +224,6 @@ def current_predictions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def upsert_predictions(incoming: DataFrame, path: str) -> None:
-    """Write predictions into a table kept by day of their history's end; the latest write per key wins.
-
-    Only days that the incoming rows touch are read and replaced, so a write
-    costs what its days hold and no compaction is needed.
-    """
-    spark = incoming.sparkSession
-    fresh = stage(incoming.withColumn("day", F.to_date("history_end_time")))
-    days = fresh.select("day").distinct()
-    try:
-        stored = spark.read.parquet(path).join(F.broadcast(days) if days.count() <= MOST_DAYS else days, "day", "left_semi")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        stored = fresh.limit(0)
-    merged = stage(upsert(stored.drop("day").select(*incoming.columns), incoming).withColumn("day", F.to_date("history_end_time")))
-    merged.hint("rebalance", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-
-
-# Up to this many days (30 years) the list of touched days is broadcast.
-MOST_DAYS = 11_000
-
-
 def save_state(spark: SparkSession, path: str, key: str, value: str) -> None:
     """Append a key/value progress record; the newest one counts."""
     row = spark.range(1).select(

@@ -1,13 +1,14 @@
 import datetime as dt
 import json
+import random
 import uuid
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from rillcast.config import Clip, Grid
 from rillcast.operators import live
+from rillcast.sources import snapshots as snap
 from rillcast.sources import tables as tb
 from rillcast.streaming import live as stream
 
@@ -195,15 +196,14 @@ def test_stream_matches_arrival_order(spark, obs, registry, tmp_path, full, hour
     ).unionByName(obs({201.5: 12.0}, 3, "Discharge", 1, 5003)).unionByName(obs({201: -4.0}, 2, "AirTemp", 2, 5004))
     columns = list(live.EVENT_COLUMNS)
     full.select(*columns).coalesce(1).write.parquet(f"{base}/events")
-    stream.prepare_streams(spark)
-    judged = stream.judge_stream(stream.read_events(spark, f"{base}/events", 1))
+    arriving = stream.read_events(spark, f"{base}/events", 1)
     handler = stream.Forecaster(f"{base}/events", registry, f"{base}/out", horizons=HORIZONS, csv=f"{base}/csv")
 
     def run():
-        stream.start(judged, handler, f"{base}/checkpoint", once=True).awaitTermination()
+        stream.start(arriving, handler, f"{base}/checkpoint", once=True).awaitTermination()
 
     run()
-    first = spark.read.parquet(f"{base}/out/predictions").select("source_datastream_id").distinct().collect()
+    first = snap.stored_predictions(spark, f"{base}/out/predictions").select("source_datastream_id").distinct().collect()
     # In the first file hours 0-200 arrive in order: all with enough history are forecast.
     assert {r[0] for r in first} >= {201, 1201}
     late.select(*columns).coalesce(1).write.mode("append").parquet(f"{base}/events")
@@ -213,67 +213,64 @@ def test_stream_matches_arrival_order(spark, obs, registry, tmp_path, full, hour
         for r in spark.read.parquet(f"{base}/out/judged").where("datastream_id >= 5000").collect()
     }
     assert reasons == {5000: "not_newer", 5001: "accepted", 5002: "not_newer", 5003: "not_exact_hour", 5004: "accepted"}
-    rows = tb.current_predictions(spark, f"{base}/out/predictions").where("source_datastream_id >= 5000")
+    rows = snap.stored_predictions(spark, f"{base}/out/predictions").where("source_datastream_id >= 5000")
     assert {r["source_datastream_id"]: r["count"] for r in rows.groupBy("source_datastream_id").count().collect()} == {
         5001: HORIZONS, 5004: HORIZONS,
     }
     rejects = spark.read.parquet(f"{base}/out/rejects").where("datastream_id = 5003").collect()
     assert [r.reason for r in rejects] == ["not_exact_hour"]
     run()  # nothing new: nothing changes
-    assert tb.current_predictions(spark, f"{base}/out/predictions").where("source_datastream_id >= 5000").count() == 2 * HORIZONS
-
-
-def test_guard_orders_rows_by_id():
-    class State:
-        value = None
-
-        def exists(self):
-            return self.value is not None
-
-        def get(self):
-            return self.value
-
-        def update(self, v):
-            self.value = v
-
-    guard = stream.NewestGuard()
-    guard.latest = State()
-    t = pd.Timestamp("2024-01-01")
-    hour = pd.Timedelta(hours=1)
-
-    def batch(rows):
-        df = pd.DataFrame(rows, columns=["datastream_id", "datetime_utc"])
-        return df.assign(site_id=1, variable_id=1, variable_code="X", value=0.0)
-
-    out = next(guard.handleInputRows((1, 1), iter([batch([(3, t + hour)]), batch([(1, t), (2, t + 2 * hour)])]), None))
-    assert out.set_index("datastream_id").is_newest.to_dict() == {1: True, 2: True, 3: False}
-    out = next(guard.handleInputRows((1, 1), iter([batch([(4, t + 2 * hour), (5, t + 3 * hour)])]), None))
-    assert out.is_newest.tolist() == [False, True]
-
-
-def test_guard_starts_from_history_and_rejects_missing_times():
-    class State:
-        value = None
-
-        def exists(self):
-            return self.value is not None
-
-        def get(self):
-            return self.value
-
-        def update(self, v):
-            self.value = v
-
-    guard = stream.NewestGuard()
-    guard.latest = State()
-    t = pd.Timestamp("2024-01-01")
-    hour = pd.Timedelta(hours=1)
-    guard.handleInitialState((1, 1), pd.DataFrame({"latest": [t + 2 * hour]}), None)
-    rows = pd.DataFrame({"datastream_id": [1, 2, 3, 4], "datetime_utc": [t + hour, pd.NaT, t + 3 * hour, pd.NaT]})
-    rows = rows.assign(site_id=1, variable_id=1, variable_code="X", value=0.0)
-    out = next(guard.handleInputRows((1, 1), iter([rows]), None))
-    assert out.is_newest.tolist() == [False, False, True, False]
-    assert guard.latest.get()[0] == (t + 3 * hour).value // 1000
+    assert snap.stored_predictions(spark, f"{base}/out/predictions").where("source_datastream_id >= 5000").count() == 2 * HORIZONS
+
+
+def judged(spark, guard, rows, batch_id):
+    """datastream_id to verdict of one batch of (id, time, site)."""
+    full = [(i, s, 1, "X", t, 0.0) for i, t, s in rows]
+    known = guard.before(spark, batch_id)
+    found = guard.judge(spark.createDataFrame(full, stream.EVENT_SCHEMA), known)
+    got = [(r.datastream_id, r.is_newest) for r in found.collect()]
+    guard.advance(found, known, batch_id)
+    return sorted(got)
+
+
+def plain_verdicts(rows, latest):
+    """The same, one row after another."""
+    out = []
+    for i, t, s in sorted(rows, key=lambda r: (r[0], r[1] or dt.datetime.min)):
+        out.append((i, t is not None and (latest.get(s) is None or t > latest[s])))
+        if t is not None and (latest.get(s) is None or t > latest[s]):
+            latest[s] = t
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [1, 7, 4096])
+def test_guard_judges_in_order_of_arrival(spark, tmp_path, block):
+    rng = random.Random(block)
+    guard = stream.NewestGuard(str(tmp_path / "latest"), block=block)
+    latest, first = {}, 0
+    for batch_id in range(4):
+        # One hot series, one without a site, late rows and rows without a time.
+        rows = [
+            (first + k, None if rng.random() < 0.05 else dt.datetime(2024, 1, 1) + dt.timedelta(hours=first + k - rng.choice([0, 0, 0, 3, 40])), rng.choice([1, 1, 1, 1, 2, None]))
+            for k in range(60)
+        ]
+        assert judged(spark, guard, rows, batch_id) == plain_verdicts(rows, dict(latest))
+        # A replay is judged as the first time.
+        assert judged(spark, guard, rows, batch_id) == plain_verdicts(rows, latest)
+        first += 60
+    assert tb.batches(spark, str(tmp_path / "latest")) == [2, 3]
+
+
+def test_guard_starts_from_history_and_rejects_missing_times(spark, tmp_path):
+    t, hour = dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    history = spark.createDataFrame([(1, 1, t + 2 * hour), (1, 1, None), (2, 1, None)], "site_id int, variable_id int, datetime_utc timestamp_ntz")
+    guard = stream.NewestGuard(str(tmp_path / "latest"), history)
+    rows = [(1, t + hour, 1), (2, None, 1), (3, t + 3 * hour, 1), (4, None, 1), (5, t, 2)]
+    want = [(1, False), (2, False), (3, True), (4, False), (5, True)]
+    assert judged(spark, guard, rows, 0) == want
+    # Started anew with a history that has grown: the batch is judged as before.
+    grown = spark.createDataFrame([(1, 1, t + 9 * hour)], "site_id int, variable_id int, datetime_utc timestamp_ntz")
+    assert judged(spark, stream.NewestGuard(str(tmp_path / "latest"), grown), rows, 0) == want
 
 
 def test_scan_of_a_batch_reaches_over_the_longest_window(spark, obs):
@@ -284,19 +281,84 @@ def test_scan_of_a_batch_reaches_over_the_longest_window(spark, obs):
     assert stream.observations_near(table, event.limit(0), 24, Grid()) is None
 
 
-def test_upsert_touches_only_its_days(spark, tmp_path):
-    schema = (
-        "source_datastream_id long, model_family string, target_variable string, site_id int, season_key string, "
-        "history_end_time timestamp_ntz, horizon int, prediction double"
-    )
+def test_a_late_series_leaves_the_history_of_others_unread(spark, obs, tmp_path):
+    path = str(tmp_path / "observations")
+    hours = [*range(200), *range(9000, 9200)]
+    table = obs({h: float(h) for h in hours}, 3, "Discharge", 1, 1).unionByName(obs({h: 1.0 for h in hours}, 4, "Discharge", 1, 20000))
+    stream.write_observations(table, path)
+    events = obs({199: 0.0}, 3, "Discharge", 1, 90000).unionByName(obs({9199: 0.0}, 4, "Discharge", 1, 90001))
+    events = events.withColumn("target_variable", F.lit("discharge"))
+    stored = spark.read.parquet(path)
+    near = stream.observations_near(stored, events, 24, Grid(), {})
+    got = {(r.site_id, r.span) for r in near.select("site_id", "span").distinct().collect()}
+    spans = lambda site: sorted({r.span for r in stored.where(F.col("site_id") == site).collect()})
+    assert len(spans(3)) >= 2 and got == {(3, spans(3)[0]), (4, spans(4)[-1])}
+    # Files of the other spans could not be read at all.
+    for site, span in ((3, spans(3)[-1]), (4, spans(4)[0])):
+        for file in (tmp_path / "observations").glob(f"batch_id=*/bucket=*/span={span}/*.parquet"):
+            if site == spark.read.parquet(f"file://{file}").first().site_id:
+                file.write_bytes(b"not a table")
+    near = stream.observations_near(spark.read.schema(stored.schema).parquet(path), events, 24, Grid(), {})
+    assert near.where("datetime_utc IS NOT NULL").count() == 400
+    many = stream.observations_near(stored, events.limit(0), 24, Grid())
+    assert many is None
+
+
+PREDICTIONS = (
+    "source_datastream_id long, model_family string, target_variable string, site_id int, season_key string, "
+    "history_end_time timestamp_ntz, horizon int, prediction double"
+)
+
+
+def some_predictions():
     day = dt.datetime(2024, 5, 1)
-    rows = [(i, "f", "discharge", 3, "spring", day + dt.timedelta(days=i % 3), 1 + i // 3, float(i)) for i in range(12)]
+    return [(i, "f", "discharge", 3, "spring", day + dt.timedelta(days=i % 3), 1 + i // 3, float(i)) for i in range(12)]
+
+
+def test_upsert_touches_only_its_days(spark, tmp_path):
     path = str(tmp_path / "predictions")
-    tb.upsert_predictions(spark.createDataFrame(rows, schema), path)
-    files = lambda d: sorted(p.name for p in (tmp_path / "predictions" / f"day=2024-05-0{d}").glob("*.parquet"))
-    before = {d: files(d) for d in (1, 2, 3)}
-    changed = (99, "f", "discharge", 3, "spring", day + dt.timedelta(days=1), 2, -1.0)
-    tb.upsert_predictions(spark.createDataFrame([changed], schema), path)
-    assert files(1) == before[1] and files(3) == before[3] and files(2) != before[2]
-    now = {(r.history_end_time.day, r.horizon): r.prediction for r in spark.read.parquet(path).collect()}
+    assert snap.upsert_predictions(spark.createDataFrame(some_predictions(), PREDICTIONS), path) == 0
+    before = {r.day.day: r.write for r in snap.snapshot_days(spark, path, 0).collect()}
+    day = dt.datetime(2024, 5, 2)
+    changed = [(99, "f", "discharge", 3, "spring", day, 2, -1.0), (98, "f", "discharge", 3, "spring", day, 2, -2.0)]
+    assert snap.upsert_predictions(spark.createDataFrame(changed, PREDICTIONS), path) == 1
+    after = {r.day.day: r.write for r in snap.snapshot_days(spark, path, 1).collect()}
+    assert after[1] == before[1] and after[3] == before[3] and after[2] != before[2]
+    now = {(r.history_end_time.day, r.horizon): r.prediction for r in snap.stored_predictions(spark, path).collect()}
     assert len(now) == 12 and now[2, 2] == -1.0
+    # The snapshot before is still whole, a replay changes nothing, one day is read alone.
+    assert {r.prediction for r in snap.stored_predictions(spark, path, snapshot=0).collect()} == {float(i) for i in range(12)}
+    assert snap.upsert_predictions(spark.createDataFrame(some_predictions(), PREDICTIONS), path, 1) == 1
+    assert snap.stored_predictions(spark, path).where("prediction < 0").count() == 1
+    assert {r.history_end_time.day for r in snap.stored_predictions(spark, path, day.date(), day.date()).collect()} == {2}
+    assert len(snap.drop_unused(spark, path, keep=1)) == 0 and snap.snapshots(spark, path) == [1]
+    snap.upsert_predictions(spark.createDataFrame(some_predictions(), PREDICTIONS), path)
+    assert len(snap.drop_unused(spark, path, keep=1)) == 2 and snap.stored_predictions(spark, path).count() == 12
+    with pytest.raises(FileNotFoundError):
+        snap.stored_predictions(spark, path, snapshot=0)
+    with pytest.raises(FileNotFoundError):
+        snap.stored_predictions(spark, str(tmp_path / "nothing"))
+
+
+@pytest.mark.parametrize("at", ["data", "commit"])
+def test_a_killed_write_leaves_the_old_snapshot(spark, tmp_path, monkeypatch, at):
+    path = str(tmp_path / "predictions")
+    rows = some_predictions()
+    snap.upsert_predictions(spark.createDataFrame(rows, PREDICTIONS), path, 0)
+    raised = [(*r[:-1], r[-1] + 100) for r in rows]
+    if at == "commit":
+        def killed(*_):
+            raise KeyboardInterrupt
+
+        monkeypatch.setattr(snap, "commit", killed)
+        with pytest.raises(KeyboardInterrupt):
+            snap.upsert_predictions(spark.createDataFrame(raised, PREDICTIONS), path, 1)
+    else:
+        # Half of the days' files are there, no snapshot names them.
+        some = spark.createDataFrame(raised[:5], PREDICTIONS).withColumn("day", F.to_date("history_end_time"))
+        some.write.partitionBy("day").parquet(f"{path}/data/write=halfway")
+    assert sorted(r.prediction for r in snap.stored_predictions(spark, path).collect()) == [float(i) for i in range(12)]
+    monkeypatch.undo()
+    snap.upsert_predictions(spark.createDataFrame(raised, PREDICTIONS), path, 1)
+    assert sorted(r.prediction for r in snap.stored_predictions(spark, path).collect()) == [float(i) + 100 for i in range(12)]
+    assert len(snap.drop_unused(spark, path)) == 1
