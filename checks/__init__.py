@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
-    "table_queries", "series_queries", "sample_queries", "model_queries", "fit_queries", "live_queries", "stream_queries", "file_queries",
+    "table_queries", "series_queries", "sample_queries", "model_queries", "fit_queries", "live_queries", "stream_queries", "file_queries", "merge_queries",
 )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rillcast.config import DAY, Feature, Grid, SampleSpec, Target
 from rillcast.functions.timeaxis import SEASONS
 from rillcast.operators.models import fit_linear, linear_registry, score_linear
+from rillcast.operators.normalize import META_COLUMNS
 from rillcast.operators.prep import trailing_year_split, usable_subsets, with_season_name
 from rillcast.operators.scan import literal_rows
 from rillcast.plans.training import training_samples
@@ -268,15 +269,7 @@ def metric_sql(keys: str, source: str = "long") -> str:
 
 # --- staging rows -----------------------------------------------------------
 
-STAGING_COLUMNS = (
-    "workspace_name owner_name contact_email site_code site_name site_description "
-    "sampling_feature_type site_type latitude longitude elevation_m elevation_datum state county "
-    "variable_name variable_definition variable_description variable_type variable_code "
-    "unit_name unit_symbol unit_definition unit_type method_name method_description method_code "
-    "method_type method_link sensor_manufacturer_name sensor_model_name sensor_model_link "
-    "processing_level_code processing_level_definition processing_level_explanation "
-    "qualifier_code qualifier_description"
-).split()
+STAGING_COLUMNS = META_COLUMNS
 STAGING_EXPR = {
     "owner_name": "CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_mktsegment END",
     "contact_email": "concat(lower(c_mktsegment), '@example.org')",

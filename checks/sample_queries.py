@@ -19,14 +19,15 @@ from checks.inputs import (
     observations,
     samples_sql,
 )
-from checks.registry import check, r, rsql
+from checks.registry import SQL, check, r, rsql
 from checks.series_queries import AIR_DENSE, WIDE
 from rillcast.config import DISCHARGE, SampleSpec
 from rillcast.functions.timeaxis import tick_time
 from rillcast.operators.regular import bounds, bucket_last, regular_blocks
 from rillcast.operators.samples import lag_table, ratio_split, samples_of_table, stride_positions
 from rillcast.session import checkpoint_dir
-from rillcast.sources.tables import audit, load_training, write_training
+from rillcast.sources.staged import stage
+from rillcast.sources.tables import audit, load_samples, load_training, write_training
 from rillcast.plans.training import regular_table, target_by_terms, training_samples
 
 MULTI = f"""{WIDE},
@@ -120,6 +121,18 @@ def _(spark, sf_dir):
     return audit(load_training(spark, path))
 
 
+# The same files, value by value: what is read back is what was built.
+@check("training_files_values", SQL["samples_multi"])
+def _(spark, sf_dir):
+    path = f"{checkpoint_dir(spark)}/training-{uuid.uuid4().hex}"
+    spec = SampleSpec()
+    built = stage(training_samples(observations(spark, sf_dir), DISCHARGE))
+    write_training(built, DISCHARGE, path, spec.lags, spec.horizons)
+    rows = _digest(load_samples(spark, path, "discharge", spec.lags, spec.horizons).select(*built.columns))
+    names = ("snow_depth_latest", "air_temp_avg_last_24h", "precip_avg_last_24h")
+    return rows.withColumns({c: r(c) for c in names})
+
+
 # The regular table a user already has gives the same samples as the observations behind it.
 @check("samples_of_table", f"""WITH {SINGLE} SELECT {META.format(u="HOUR", h=23, cal=CALENDAR.format(t="forecast_start_time"))}, {DIGEST} FROM lagged""")
 def _(spark, sf_dir):

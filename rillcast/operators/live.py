@@ -21,6 +21,7 @@ from rillcast.functions.timeaxis import (
     calendar,
     floor_div,
     horizon_bin,
+    micros,
     next_exact,
     on_grid,
     season_name,
@@ -39,7 +40,7 @@ from rillcast.operators.regular import (
     observed_at,
     ticks,
 )
-from rillcast.operators.scan import dense_ids, literal_rows, next_point, sized
+from rillcast.operators.scan import best_rows, dense_ids, literal_rows, next_point, packed, sized
 from rillcast.sources.staged import per_key, stage
 
 EVENT_COLUMNS = ("datastream_id", "site_id", "variable_id", "variable_code", "datetime_utc", "value")
@@ -48,6 +49,8 @@ PAYLOAD = (
     "datetime_utc string, value double"
 )
 # Key of a stored prediction and the columns of the CSV copy.
+# Microseconds of the earliest time that writes are told apart by (year 0 or so).
+EARLIEST = -(2**56)
 PREDICTION_KEY = (
     "model_family", "target_variable", "site_id", "history_end_time", "season_key", "horizon",
 )
@@ -376,14 +379,11 @@ def upsert(existing: DataFrame, incoming: DataFrame, order: str = "created_at")
     both = existing.withColumn("_new", F.lit(0)).unionByName(
         incoming.withColumn("_new", F.lit(1)), allowMissingColumns=True
     )
-    rest = [c for c in existing.columns if c not in PREDICTION_KEY]
-    rank = [F.col("_new")] + ([F.col(order)] if order in both.columns else [])
-    return (
-        both.groupBy(*PREDICTION_KEY)
-        .agg(F.max_by(F.struct(*rest), F.struct(*rank, F.col("source_datastream_id"))).alias("_row"))
-        .select(*PREDICTION_KEY, "_row.*")
-        .select(*existing.columns)
-    )
+    since = F.coalesce(micros(F.col(order)), F.lit(EARLIEST)) - EARLIEST if order in both.columns else F.lit(0)
+    # Up to 2**60 microseconds from the earliest time on, above them whether the row is new.
+    rank = F.col("_new").cast("long") * (1 << 60) + F.least(F.greatest(since, F.lit(0)), F.lit((1 << 60) - 1))
+    source = F.coalesce(F.col("source_datastream_id"), F.lit(-(1 << 63)))
+    return best_rows(both, PREDICTION_KEY, packed(rank, source)).select(*existing.columns)
 
 
 def preview(rows: DataFrame, n: int = 8) -> DataFrame:

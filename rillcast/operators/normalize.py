@@ -115,20 +115,23 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: Mapping[str, str]) -> Co
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs.items()])
 
 
-def insert_new(existing: DataFrame, incoming: DataFrame, dim: Dimension, extra: Sequence[str] = ()) -> DataFrame:
-    """Existing members plus the incoming ones not there yet, with the next free keys.
-
-    Running it again with the same input changes nothing.
-    """
+def fresh_members(existing: DataFrame, incoming: DataFrame, dim: Dimension, extra: Sequence[str] = ()) -> DataFrame:
+    """The incoming members that aren't there yet, with the next free keys."""
     natural = [*dim.natural, *extra]
     fresh = incoming.join(
         existing, null_safe(incoming, existing, {c: c for c in natural}), "left_anti"
     )
     top = existing.agg(F.coalesce(F.max(dim.key), F.lit(0))).scalar()
     numbered = dense_ids(fresh, natural, dim.key, top)
-    return existing.unionByName(
-        numbered.withColumn(dim.key, F.col(dim.key).cast(existing.schema[dim.key].dataType))
-    )
+    return numbered.withColumn(dim.key, F.col(dim.key).cast(existing.schema[dim.key].dataType))
+
+
+def insert_new(existing: DataFrame, incoming: DataFrame, dim: Dimension, extra: Sequence[str] = ()) -> DataFrame:
+    """Existing members plus the incoming ones not there yet, with the next free keys.
+
+    Running it again with the same input changes nothing.
+    """
+    return existing.unionByName(fresh_members(existing, incoming, dim, extra))
 
 
 def _match(staging: DataFrame, table: DataFrame, dim: Dimension, by_name: bool) -> Column:

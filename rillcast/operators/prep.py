@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rillcast.config import Grid
 from rillcast.functions.timeaxis import season_name, season_name_of_code, shift
 from rillcast.functions.vectors import SEASON_FLAGS, deltas, finite, time_feature_steps
+from rillcast.operators.scan import best_rows, ordered_numbers, packed
 from rillcast.sources.staged import per_key
 
 # Sample time columns and the version columns, best first.
@@ -61,21 +62,19 @@ def newest_wins(
 ) -> DataFrame:
     """One row per key: highest version, then file time, then path. A missing version ranks highest.
 
-    Without a ranking column every row stays. An ordered aggregate, not a row
-    number: copies of one key are combined before the shuffle.
+    Without a ranking column every row stays. Versions, times and paths (as
+    many as there are files) are numbered in their order; a key's best number
+    is found on narrow rows, and only its row is then taken. Rows that tie in
+    all of these are told apart by a digest of the row.
     """
     ranking = ranking_columns(df) if ranking is None else list(ranking)
     if not ranking:
         return df
     by = ranking + (["source_path"] if "source_path" in df.columns else [])
-    order = F.struct(*[c for name in by for c in (F.col(name).isNull(), F.col(name))])
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
-    )
+    numbers = ordered_numbers(df, by, "_rank")
+    numbered = df.join(numbers, [df[c].eqNullSafe(numbers[c]) for c in by]).select(*(df[c] for c in df.columns), "_rank")
+    content = [c for c, kind in df.dtypes if "map<" not in kind]
+    return best_rows(numbered, keys, packed(F.col("_rank"), F.xxhash64(*content))).drop("_rank")
 
 
 def season_flag_columns(code: Column | str) -> dict[str, Column]:

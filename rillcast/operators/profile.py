@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillcast.operators.normalize import table_counts
+from rillcast.operators.rollup import DAY_KEYS, merged_days, series_days
 from rillcast.operators.scan import latest_rows, top_times
 from rillcast.sources.staged import per_key
 
@@ -33,17 +34,11 @@ def overview(facts: DataFrame) -> DataFrame:
     )
 
 
-def _per_series(facts: DataFrame, *by) -> DataFrame:
-    """Facts reduced per series before any dimension is joined."""
-    return facts.groupBy("site_id", "variable_id", *by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("value").alias("n_values"),
-        F.sum("value").alias("total"),
-        F.min("datetime_utc").alias("first"),
-        F.max("datetime_utc").alias("last"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
+def _per_series(facts: DataFrame, daily: bool = False) -> DataFrame:
+    """Facts, or their stored summaries by series and day, reduced per series before any dimension is joined."""
+    if "n_values" in facts.columns:
+        return merged_days(facts, DAY_KEYS if daily else DAY_KEYS[:2])
+    return series_days(facts, daily)
 
 
 def _site(sites: DataFrame, *columns: str) -> DataFrame:
@@ -160,7 +155,7 @@ def variable_list(variables: DataFrame, units: DataFrame, methods: DataFrame | N
 
 def daily_summary(facts: DataFrame, sites: DataFrame, variables: DataFrame, n: int | None = 100) -> DataFrame:
     out = (
-        _per_series(facts, F.date_trunc("day", "datetime_utc").cast("timestamp_ntz").alias("day_utc"))
+        _per_series(facts, daily=True)
         .join(_site(sites), "site_id")
         .join(variables.select("variable_id", "variable_code"), "variable_id")
         .groupBy("day_utc", "site_code", "variable_code")

@@ -9,6 +9,7 @@ over. Results equal the uncut window, for any block size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -195,6 +196,39 @@ def largest_before(
     return both.withColumn(name, F.max(value).over(inside)).where("NOT _handed").drop("_handed", "_order", "_block")
 
 
+WIDE = "decimal(38,0)"
+
+
+def packed(high: Column, low: Column) -> Column:
+    """Two whole numbers, the first from 0 to 2**61, as one that orders by the first, then the second."""
+    return high.cast(WIDE) * F.lit(Decimal(1 << 64)).cast(WIDE) + low.cast(WIDE) + F.lit(Decimal(1 << 63)).cast(WIDE)
+
+
+def best_rows(df: DataFrame, keys: Sequence[str], number: Column) -> DataFrame:
+    """The row of the largest ``number`` (a decimal of 38 digits) of every key, whole rows moved once.
+
+    A hash aggregate of keys, numbers and a digest of the row finds which row
+    is best; only that row is then picked. Of rows that tie one stays. Columns
+    of maps don't count in the digest.
+    """
+    content = [c for c, kind in df.dtypes if "map<" not in kind]
+    named = df.withColumns({"_key": F.xxhash64(F.lit(1), *keys), "_digest": F.xxhash64(*content), "_number": number.cast(WIDE)})
+    best = named.groupBy(*keys).agg(F.max_by("_digest", "_number").alias("_digest")).select(F.xxhash64(F.lit(1), *keys).alias("_key"), "_digest")
+    picked = named.drop("_number").join(best, ["_key", "_digest"], "left_semi")
+    # Rows equal in all columns become one; they lie together already.
+    return (picked.distinct() if len(content) == len(df.columns) else picked.dropDuplicates(["_key", "_digest"])).drop("_key", "_digest")
+
+
+def ordered_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """The distinct values of some columns with a number that rises in their order, null last; written once.
+
+    Rows are dealt by ranges and sorted there: no task holds them all.
+    """
+    by = [c for n in order for c in (F.col(n).isNull(), F.col(n))]
+    values = df.select(*order).distinct()
+    return per_key(values.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(name, F.monotonically_increasing_id()))
+
+
 def latest_rows(df: DataFrame, keys: Sequence[str], time: str, tie: str) -> DataFrame:
     """Per key the row with the latest time, the larger ``tie`` deciding.
 

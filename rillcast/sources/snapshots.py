@@ -56,8 +56,8 @@ def stored_predictions(
 ) -> DataFrame:
     """The predictions of the newest (or a given) snapshot; ``first`` and ``last`` name the days to read.
 
-    Other days' files aren't opened. A store without a snapshot, or without
-    the days asked for, is an error, as a missing table is.
+    Other days' files aren't opened. A store without a snapshot is an error,
+    as a missing table is; days without predictions have no rows.
     """
     path = path.rstrip("/")
     there = snapshots(spark, path)
@@ -69,9 +69,7 @@ def stored_predictions(
     if last is not None:
         days = days.where(F.col("day") <= F.lit(last))
     rows = _rows(spark, path, days)
-    if rows is None:
-        raise FileNotFoundError(f"no predictions of these days in {path}")
-    return rows
+    return spark.read.parquet(f"{path}/columns") if rows is None else rows
 
 
 def upsert_predictions(incoming: DataFrame, path: str, number: int | None = None) -> int:
@@ -95,6 +93,7 @@ def upsert_predictions(incoming: DataFrame, path: str, number: int | None = None
     known = snapshot_days(spark, path, before)
     stored = _rows(spark, path, known.where(F.col("day").isin(touched)))
     rows = fresh.drop("day")
+    rows.limit(0).write.mode("ignore").parquet(f"{path}/columns")
     merged = upsert(rows.limit(0) if stored is None else stored.select(*rows.columns), rows)
     name = uuid.uuid4().hex
     by_day = merged.withColumn("day", F.to_date("history_end_time")).hint("rebalance", F.col("day"))

@@ -334,6 +334,8 @@ def test_upsert_touches_only_its_days(spark, tmp_path):
     assert len(snap.drop_unused(spark, path, keep=1)) == 0 and snap.snapshots(spark, path) == [1]
     snap.upsert_predictions(spark.createDataFrame(some_predictions(), PREDICTIONS), path)
     assert len(snap.drop_unused(spark, path, keep=1)) == 2 and snap.stored_predictions(spark, path).count() == 12
+    assert snap.stored_predictions(spark, path, dt.date(2030, 1, 1)).columns == snap.stored_predictions(spark, path).columns
+    assert snap.stored_predictions(spark, path, dt.date(2030, 1, 1)).count() == 0
     with pytest.raises(FileNotFoundError):
         snap.stored_predictions(spark, path, snapshot=0)
     with pytest.raises(FileNotFoundError):
