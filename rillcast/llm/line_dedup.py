@@ -124,8 +124,10 @@ def characters(line: Column) -> Column:
 
 def lines_of(docs: DataFrame, *more: Column) -> DataFrame:
     """Lines with a word, without white space around them: doc_id, digest h of the text, place, digests d1 and d2, line."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = texts.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("place", "raw"))
+    text = F.col("text").cast("string")
+    # The digest before the lines are told apart: behind that it would be made once a line.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    placed = texts.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("place", "raw"))
     bare = placed.withColumn("line", F.btrim("raw", F.lit(SPACES))).where("line <> ''").drop("raw")
     # Two digests, seeded apart, name a line.
     return bare.withColumns({"d1": F.xxhash64("line"), "d2": F.xxhash64(F.lit(1), "line")})
