@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+import unicodedata
+from collections.abc import Callable, Mapping, Sequence
 
 ROUNDS = 10
 DIGITS = "0123456789"
 SMALL = "abcdefghijklmnopqrstuvwxyz"
 HEX_SMALL, HEX_LARGE = DIGITS + "abcdef", DIGITS + "ABCDEF"
+# Beyond a-z: small and capital letters of these blocks (Latin with marks, Greek, Cyrillic), each among themselves.
+BLOCKS = ((0x00C0, 0x017F), (0x0386, 0x03CE), (0x0400, 0x045F))
+LETTERS = [
+    "".join(c for c in map(chr, range(a, b + 1)) if unicodedata.category(c) == kind) for a, b in BLOCKS for kind in ("Ll", "Lu")
+]
+PLAIN = {c: a for a in (DIGITS, SMALL, SMALL.upper()) for c in a}
+ANY_SCRIPT = PLAIN | {c: a for a in LETTERS for c in a}
 
 
 def _round(key: bytes, kind: str, n: int, k: int, half: int, size: int) -> int:
@@ -49,21 +57,31 @@ def permuted(x: int, n: int, key: bytes, kind: str, back: bool = False, allowed:
             return x
 
 
-def permuted_text(text: str, alphabets: Sequence[str], key: bytes, kind: str, back: bool = False) -> str:
-    """Permute a text whose characters come from one alphabet each."""
+def permuted_text(
+    text: str, alphabets: Sequence[str], key: bytes, kind: str, back: bool = False, allowed: Callable[[str], bool] | None = None
+) -> str:
+    """Permute a text whose characters come from one alphabet each; with ``allowed`` among the allowed texts."""
     x, n = 0, 1
     for c, a in zip(text, alphabets, strict=True):
         x, n = x * len(a) + a.index(c), n * len(a)
-    x = permuted(x, n, key, kind, back)
-    out = []
-    for a in reversed(alphabets):
-        x, k = divmod(x, len(a))
-        out.append(a[k])
-    return "".join(reversed(out))
-
-
-def same_kind(text: str, key: bytes, kind: str, back: bool = False) -> str:
-    """Permute digits among digits and letters a-z, A-Z among themselves; all other characters stay."""
-    alphabets = [DIGITS if c in DIGITS else SMALL if c in SMALL else SMALL.upper() if c in SMALL.upper() else None for c in text]
-    image = iter(permuted_text("".join(c for c, a in zip(text, alphabets) if a), [a for a in alphabets if a], key, kind, back))
-    return "".join(next(image) if a else c for c, a in zip(text, alphabets))
+
+    def written(x: int) -> str:
+        out = []
+        for a in reversed(alphabets):
+            x, k = divmod(x, len(a))
+            out.append(a[k])
+        return "".join(reversed(out))
+
+    return written(permuted(x, n, key, kind, back, None if allowed is None else lambda y: allowed(written(y))))
+
+
+def same_kind(text: str, key: bytes, kind: str, back: bool = False, allowed: Callable[[str], bool] | None = None, letters: Mapping[str, str] = PLAIN) -> str:
+    """Permute digits among digits, small letters and capitals (of ``letters``) among themselves; all other characters stay."""
+    alphabets = [letters.get(c) for c in text]
+
+    def whole(image: str) -> str:
+        new = iter(image)
+        return "".join(next(new) if a else c for c, a in zip(text, alphabets))
+
+    own = "".join(c for c, a in zip(text, alphabets) if a)
+    return whole(permuted_text(own, [a for a in alphabets if a], key, kind, back, None if allowed is None else lambda image: allowed(whole(image))))

@@ -10,8 +10,9 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from rillcast.llm.feistel import DIGITS, HEX_LARGE, HEX_SMALL, permuted, permuted_text, same_kind
+from rillcast.llm.feistel import ANY_SCRIPT, DIGITS, HEX_LARGE, HEX_SMALL, permuted, permuted_text, same_kind
 
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 # What may stand between the parts of a number or around a sign of assignment.
@@ -31,7 +32,7 @@ NUMBERS = re.compile(
 # Country code (not 1) and groups, as many as hold 8 to 15 digits in all. A blank, point, hyphen, slash or bracket may stand between.
 ABROAD = re.compile(r"(?<![0-9A-Za-z+])\+(?P<number>[2-9][0-9]{0,2}(?:[ ./-]?\(?[0-9]+\)?)*[0-9])(?![0-9])")
 MAIL_END = re.compile(r"@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
-MAIL_START = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
+MAIL_START = re.compile(r"[\w.%+-]{1,64}$")
 SECRET_VALUE = re.compile(r"[=:]" + GAP + r"(?P<value>[A-Za-z0-9+/_-]{8,})")
 SECRET_NAME = re.compile(r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer)" + GAP + "$")
 # Openings of widely used access keys, which stay, and what follows them.
@@ -141,7 +142,8 @@ def date(text: str, key: bytes, back: bool) -> str | None:
         image = dt.date.fromordinal(FIRST_DAY + x)
         return (not day_first or image.day > 12) and (padded or not all(len(p) > 1 for p in re.split(r"[-./]", written(image))))
 
-    x = permuted(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, f"date{sign}{padded}" + "d" * day_first, back, same_form)
+    # One permutation of days for all forms: a day that a form can hold is the same day in every form.
+    x = permuted(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back, same_form)
     return written(dt.date.fromordinal(FIRST_DAY + x))
 
 
@@ -174,11 +176,18 @@ def account_at(text: str, start: int, span: str, key: bytes, back: bool) -> tupl
     return None
 
 
+def alphabet_of(text: str) -> str | None:
+    """The smallest alphabet that holds all characters of a secret, None if it isn't decimal or hexadecimal."""
+    return next((a for a in (DIGITS, HEX_SMALL, HEX_LARGE) if all(c in a for c in text)), None)
+
+
 def secret(text: str, key: bytes, back: bool) -> str:
-    for alphabet in (DIGITS, HEX_SMALL, HEX_LARGE):
-        if all(c in alphabet for c in text):
-            return permuted_text(text, [alphabet] * len(text), key, f"secret{len(alphabet)}{alphabet[-1]}", back)
-    return same_kind(text, key, "secret", back)
+    """Image of a secret of the same alphabet: decimal stays decimal, hexadecimal keeps a letter, others don't become either."""
+    alphabet = alphabet_of(text)
+    same = lambda image: alphabet_of(image) == alphabet
+    if alphabet is None:
+        return same_kind(text, key, "secret", back, same)
+    return permuted_text(text, [alphabet] * len(text), key, f"secret{len(alphabet)}{alphabet[-1]}", back, same)
 
 
 def found_in(text: str, key: bytes, back: bool = False) -> list[Found]:
@@ -198,7 +207,7 @@ def found_in(text: str, key: bytes, back: bool = False) -> list[Found]:
         take("secret", a, b, same_kind(text[a:b], key, "key", back))
     for m in MAIL_END.finditer(text):
         if name := MAIL_START.search(text, max(0, m.start() - 64), m.start()):
-            take("mail", name.start(), m.end(), same_kind(name[0], key, "mail", back) + m[0])
+            take("mail", name.start(), m.end(), same_kind(name[0], key, "mail", back, letters=ANY_SCRIPT) + m[0])
     for m in IBAN.finditer(text):
         if ended := account_at(text, m.start(), m[1], key, back):
             take("account", m.start(), *ended)
@@ -276,7 +285,11 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False, name: str = "p
                 spans.append(places)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array(spans, kinds)], names=["row", "text", "found"])
 
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns if c != "text"), F.lit(0).alias("_")).alias("row"), F.col("text").cast("string").alias("text"))
-    spans = "array<struct<kind:string,start:int,end:int>>"
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, found {spans}")
-    return out.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c != name), F.col("found").alias(name))
+    empty = F.struct("*").withField("text", F.lit(None).cast("string"))
+    rows = docs.select(empty.alias("row"), F.col("text").cast("string").alias("text"))
+    spans = ArrayType(StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())]))
+    out = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("found", spans)]))
+    whole = F.col("row").withField("text", F.col("text"))
+    if name in docs.columns:
+        whole = whole.dropFields(f"`{name}`")
+    return out.select(whole.alias("row"), "found").select("row.*", F.col("found").alias(name))

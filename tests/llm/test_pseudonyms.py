@@ -5,7 +5,7 @@ import re
 import pytest
 
 from rillcast.llm.feistel import DIGITS, permuted, permuted_text, same_kind
-from rillcast.llm.pseudonyms import account, card, date, found_in, luhn_digit, pseudonymise, replaced, social
+from rillcast.llm.pseudonyms import account, alphabet_of, card, date, found_in, luhn_digit, pseudonymise, replaced, secret, social
 
 KEY = b"a key of sixteen bytes or more"
 
@@ -135,3 +135,46 @@ def test_every_slash_date_comes_back():
             assert date(image, KEY, True) == form
     assert date("13/13/2020", KEY, False) is None and date("31/02/2020", KEY, False) is None
     assert [f.kind for f in found_in("1 + 22 33, a+3 +5000, +12 items, DE89 3704 0044 0532 0130 01 X", KEY)] == []
+
+
+@pytest.mark.parametrize("alphabet", ["0123456789", "0123456789abcdef", "0123456789ABCDEF"])
+def test_short_secrets_map_one_to_one_within_their_alphabet(alphabet):
+    from itertools import product
+
+    values = ["".join(v) for n in (1, 2, 3) for v in product(alphabet, repeat=n)]
+    images = {v: secret(v, KEY, False) for v in values}
+    assert len(set(images.values())) == len(values)
+    assert all(alphabet_of(i) == alphabet_of(v) and secret(i, KEY, True) == v for v, i in images.items())
+
+
+def test_mixed_secrets_do_not_become_hexadecimal():
+    from itertools import product
+
+    values = ["".join(v) for v in product("ghijklmnopqrstuvwxyz", "0123456789")]
+    images = {v: secret(v, KEY, False) for v in values}
+    assert sorted(images.values()) == sorted(values) and all(secret(i, KEY, True) == v for v, i in images.items())
+
+
+def test_a_day_is_the_same_day_in_every_form():
+    for day, month, year in ((25, 12, 2020), (14, 11, 1987), (31, 10, 2001)):
+        iso, dotted = (date(t, KEY, False) for t in (f"{year}-{month}-{day}", f"{day}.{month}.{year}"))
+        y, m, d = iso.split("-")
+        assert dotted == f"{d}.{m}.{y}"
+
+
+@pytest.mark.parametrize("name", ["max.müller", "ÉLODIE", "иван.петров", "ñandú_7", "σοφία"])
+def test_mail_names_of_any_script(name):
+    text = f"Mail an {name}@firma.de bitte"
+    (found,) = found_in(text, KEY)
+    image = replaced(text, [found])
+    changed = image[len("Mail an ") : image.index("@")]
+    assert len(changed) == len(name) and changed != name
+    assert replaced(image, found_in(image, KEY, back=True)) == text
+
+
+def test_odd_column_names(spark):
+    docs = spark.createDataFrame([(1, "call +1 212 555 0100", 5, "y")], "doc_id long, text string, `a b` int, `a.b` string")
+    got = pseudonymise(docs, KEY, name="a b")
+    assert got.columns == ["doc_id", "text", "a.b", "a b"]
+    row = got.first()
+    assert row["a.b"] == "y" and row["a b"][0]["kind"] == "phone" and row["text"] != "call +1 212 555 0100"
