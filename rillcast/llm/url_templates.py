@@ -31,7 +31,12 @@ class TreeSettings(NamedTuple):
     """levels: segments that the tree tells apart, the rest of a path is one segment more.
 
     A segment stays a constant if it holds ``least_rows`` rows, whatever the
-    size of its node; all others of the node become one wildcard. A branch whose labelled share is within ``similar_z`` standard
+    size of its node; all others of the node become one wildcard. All of them
+    do at a node of ``least_children`` such segments or more that are followed
+    by the same segments (on average a following one by ``shared`` of them)
+    and whose shares of bad labels scatter no more than chance has it
+    (``similar_z`` deviations of the chi-square sum): those are names or numbers
+    of the same kind of thing, however many rows each has. A branch whose labelled share is within ``similar_z`` standard
     errors of its siblings' is merged with them. A template is rejected when
     its share of bad labels, smoothed by ``weight`` labels at its host's share
     (and the host's by as many at the overall one), reaches ``reject``.
@@ -39,6 +44,8 @@ class TreeSettings(NamedTuple):
 
     levels: int = 4
     least_rows: int = 5
+    least_children: int = 20
+    shared: float = 0.5
     similar_z: float = 2.0
     weight: float = 10.0
     reject: float = 0.5
@@ -75,7 +82,10 @@ def templates(paths: DataFrame, settings: TreeSettings) -> DataFrame:
     for level in range(settings.levels + 1):
         rows = rows.withColumn("_segment", F.get("_segments", F.lit(level)))
         children = rows.where(F.col("_segment").isNotNull()).groupBy("host", "template", "_segment").agg(F.count("*").alias("_n"))
-        constant = children.where(F.col("_n") >= settings.least_rows)
+        constant = stage(children.where(F.col("_n") >= settings.least_rows))
+        if level < settings.levels:
+            variable = variable_nodes(rows.withColumn("_next", F.get("_segments", F.lit(level + 1))), constant, settings)
+            constant = constant.join(variable, ["host", "template"], "left_anti")
         kept = stage(constant.select("host", "template", "_segment", F.lit(True).alias("_constant")))
         rows = rows.join(kept, ["host", "template", "_segment"], "left").withColumn(
             "template",
@@ -87,6 +97,30 @@ def templates(paths: DataFrame, settings: TreeSettings) -> DataFrame:
     return rows.drop("_segments")
 
 
+def variable_nodes(rows: DataFrame, constant: DataFrame, settings: TreeSettings) -> DataFrame:
+    """Nodes (host, template) whose segments all stand for the same kind of thing."""
+    node = ["host", "template"]
+    many = stage(constant.groupBy(*node).agg(F.count("*").alias("_children")).where(F.col("_children") >= settings.least_children))
+    cells = rows.join(constant.select(*node, "_segment"), [*node, "_segment"]).join(many, node).groupBy(*node, "_children", "_segment", "_next").agg(
+        F.count("*").alias("_n"), F.count("bad").alias("_labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("_bad")
+    )
+    cells = stage(cells)
+    followed = cells.groupBy(*node, "_children", "_next").agg(F.count("*").alias("_k"), F.sum("_n").alias("_w"))
+    # A path that ends here says nothing about what follows.
+    known = F.when(F.col("_next").isNotNull(), F.col("_w") * F.col("_k") / F.col("_children")).otherwise(F.lit(0.0))
+    alike = followed.groupBy(*node).agg((F.sum(known) / F.sum("_w")).alias("_shared")).where(F.col("_shared") >= settings.shared)
+    branches = cells.groupBy(*node, "_segment").agg(F.sum("_labelled").alias("_n"), F.sum("_bad").alias("_b")).where("_n > 0")
+    # The chi-square sum of all branches from their squares, so that one aggregate gives share and scatter.
+    sums = branches.groupBy(*node).agg(
+        F.count("*").alias("_c"), F.sum("_n").alias("_all"), F.sum("_b").alias("_all_bad"), F.sum(F.col("_b") * F.col("_b") / F.col("_n")).alias("_squares")
+    )
+    share = F.col("_all_bad") / F.col("_all")
+    scatter = F.try_divide(F.col("_squares") - F.col("_all_bad") * share, share * (1 - share))
+    free = F.col("_c") - 1
+    apart = sums.where(scatter > free + settings.similar_z * F.sqrt(2 * free)).select(*node)
+    return alike.select(*node).join(apart, node, "left_anti")
+
+
 def merged(leaves: DataFrame, settings: TreeSettings) -> DataFrame:
     """Add ``branch`` to templates with host, template, labelled and bad: similar siblings share one.
 
@@ -124,9 +158,8 @@ def rejected_templates(rows: DataFrame, settings: TreeSettings) -> DataFrame:
     branches = merged(leaves, settings)
     counts = [F.sum("labelled").alias("n"), F.sum("bad").alias("b")]
     overall = leaves.agg(F.try_divide(F.sum("bad"), F.sum("labelled")).alias("base"))
-    hosts = leaves.groupBy("host").agg(*counts).crossJoin(F.broadcast(overall)).select(
-        "host", ((F.col("b") + settings.weight * F.coalesce("base", F.lit(0.0))) / (F.col("n") + settings.weight)).alias("host_share")
-    )
+    base = F.coalesce(overall.scalar(), F.lit(0.0))
+    hosts = leaves.groupBy("host").agg(*counts).select("host", ((F.col("b") + settings.weight * base) / (F.col("n") + settings.weight)).alias("host_share"))
     by_branch = branches.groupBy("host", "branch").agg(*counts).join(hosts, "host").select(
         "host", "branch", ((F.col("b") + settings.weight * F.col("host_share")) / (F.col("n") + settings.weight)).alias("purity")
     )

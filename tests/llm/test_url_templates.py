@@ -79,3 +79,20 @@ def test_a_bad_section_is_judged_alike_on_small_and_large_hosts(spark):
     got = judge_urls(pages, labels).collect()
     assert {(r.host, r.template) for r in got if r.path.startswith("/bad/")} == {("small.org", "/bad/*"), ("large.org", "/bad/*")}
     assert {r.page_id for r in got if r.verdict == "block"} == {i for i, r in enumerate(rows) if r[2]}
+
+
+@pytest.mark.parametrize("per_id", [2, 6, 60])
+def test_names_with_many_rows_each_are_one_wildcard(spark, per_id):
+    actions = ["spam", "about", "posts", "pics", "likes", "tags"]
+    n_ids = 900 // per_id if per_id < 60 else 40
+    paths = [(f"/u/user{i}/{actions[(i + k) % 6]}/x", (i + k) % 6 == 0) for i in range(n_ids) for k in range(per_id)]
+    paths += [(f"/docs/{i % 9}/page{i}/x", False) for i in range(300)]
+    rows = [(i, f"http://h.org{p}", int(b)) for i, (p, b) in enumerate(paths)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    # Every fifth page or so is labelled, by a rule that knows nothing of the path.
+    labels = spark.createDataFrame([(i, b) for i, _, b in rows if (i * 7919) % 31 < 6], "page_id long, bad int")
+    got = judge_urls(pages, labels).collect()
+    bad = {i for i, _, b in rows if b}
+    blocked = {r.page_id for r in got if r.verdict == "block"}
+    assert len(blocked & bad) >= 0.9 * len(bad) and not blocked - bad
+    assert {r.template for r in got if r.page_id in bad} == {"/u/*/spam/x"}
