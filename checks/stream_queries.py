@@ -14,20 +14,34 @@ from rillcast.session import checkpoint_dir
 from rillcast.sources.snapshots import stored_predictions
 from rillcast.streaming import live as stream
 
-PARTS = 4
+# Files at least, and rows of a file at most (about).
+PARTS, FILE_ROWS = 4, 1 << 21
 
 
 def _arrivals(spark, sf_dir):
-    """All events written as several files in id order, as they would arrive."""
+    """All events written as several files in id order, as they would arrive.
+
+    A file holds a range of ids. The stream takes the oldest files first, and
+    tasks end in any order: the files are dated by their ranges.
+    """
     base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     e = events(spark, sf_dir)
-    top = e.agg(F.max("datastream_id")).first()[0] + 1
-    for i in range(PARTS):
-        part = e.where(F.col("datastream_id").between(i * top // PARTS, (i + 1) * top // PARTS - 1))
-        part.write.mode("append").parquet(f"{base}/events")
+    parts = max(PARTS, -(-e.count() // FILE_ROWS))
+    e.repartitionByRange(parts, "datastream_id").sortWithinPartitions("datastream_id").write.parquet(f"{base}/events")
+    _date_by_name(spark, f"{base}/events")
     return base
 
 
+def _date_by_name(spark, path):
+    """Date the files of a folder a second apart in the order of their names, which is that of their partitions."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((s for s in system.listStatus(place) if s.getPath().getName().startswith("part-")), key=lambda s: s.getPath().getName())
+    newest = max((s.getModificationTime() for s in files), default=0)
+    for k, file in enumerate(files):
+        system.setTimes(file.getPath(), newest - 1000 * (len(files) - 1 - k), -1)
+
+
 ARRIVAL = f"""{OBS},
 arrived AS (SELECT *, coalesce(datetime_utc > max(datetime_utc) OVER (PARTITION BY site_id, variable_id ORDER BY datastream_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS is_newest FROM obs)"""
