@@ -34,3 +34,13 @@ def test_star_is_staged_in_pieces_of_bounded_size(spark, tmp_path, monkeypatch,
     tables = table_queries.star(spark, str(tmp_path))
     assert files[0] > 2 * spark.sparkContext.defaultParallelism
     assert tables["datastream"].count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    spark.range(200).selectExpr("concat('line ', id) AS value", "concat('f', id) AS file").write.partitionBy("file").text(f"{tmp_path}/lines")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    spark.read.text(f"{tmp_path}/lines")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages) <= 64
