@@ -31,6 +31,7 @@ from rillcast.functions.timeaxis import (
 )
 from rillcast.functions.vectors import finite
 from rillcast.operators.models import score_linear
+from rillcast.operators.normalize import null_safe
 from rillcast.operators.profile import latest_other, latest_per_series
 from rillcast.operators.regular import (
     as_stretches,
@@ -43,6 +44,8 @@ from rillcast.operators.regular import (
 from rillcast.operators.scan import best_rows, dense_ids, literal_rows, next_point, packed, sized
 from rillcast.sources.staged import per_key, stage
 
+# What tells the windows of ticks apart that events ask for.
+WINDOW = ("site_id", "variable_code", "feature", "at")
 EVENT_COLUMNS = ("datastream_id", "site_id", "variable_id", "variable_code", "datetime_utc", "value")
 PAYLOAD = (
     "datastream_id long, site_id int, variable_id int, variable_code string, "
@@ -168,21 +171,21 @@ def reason_counts(judged: DataFrame) -> DataFrame:
 def requests(
     accepted: DataFrame, lags: int, grid: Grid = Grid(), contexts: Mapping[str, Sequence[Context]] = CONTEXTS
 ) -> DataFrame:
-    """Which ticks of which series are needed: ``datastream_id, feature, site, code, lo, hi``.
+    """Which ticks of which series are needed, each window once: ``at, feature, site, code, lo, hi``.
 
-    Lags are an event's own. A context depends on its feature and the hour
-    alone: it is asked for once, with the hour's tick in place of the id.
+    ``at`` is the tick of the event's hour. Lags depend on the event's series
+    and that hour, a context on its feature and the hour, neither on the
+    event: any number of events of one series and hour ask for one window.
     """
     rows = [(t, c.name, c.site_id, c.variable_code, c.window) for t, cs in contexts.items() for c in cs]
     spark = accepted.sparkSession
     events = accepted.select(
-        "datastream_id", "target_variable", "site_id", "variable_code",
-        tick_of("datetime_utc", grid).alias("hi"),
+        "target_variable", "site_id", "variable_code", tick_of("datetime_utc", grid).alias("hi")
     ).distinct()
     own = events.select(
-        "datastream_id", F.lit("lags").alias("feature"), "site_id", "variable_code",
+        F.col("hi").alias("at"), F.lit("lags").alias("feature"), "site_id", "variable_code",
         (F.col("hi") - F.lit(lags - 1)).alias("lo"), "hi",
-    )
+    ).distinct()
     if not rows:
         return own
     table = sized(
@@ -192,14 +195,16 @@ def requests(
         len(rows),
     )
     support = events.select("target_variable", "hi").distinct().join(table, "target_variable").select(
-        F.col("hi").alias("datastream_id"), "feature", "site_id", "variable_code",
+        F.col("hi").alias("at"), "feature", "site_id", "variable_code",
         (F.col("hi") - F.col("window") + 1).alias("lo"), "hi",
     ).distinct()
     return own.unionByName(support)
 
 
-def event_ticks(wanted: DataFrame, obs: DataFrame, grid: Grid = Grid(), span: int = 256) -> DataFrame:
-    """Regular ticks of every request, gaps described but not yet filled.
+def event_ticks(
+    wanted: DataFrame, obs: DataFrame, grid: Grid = Grid(), span: int = 256, by: Sequence[str] = ("datastream_id", "feature")
+) -> DataFrame:
+    """Regular ticks of every request, gaps described but not yet filled. ``by`` tells requests apart.
 
     The range join is an equality join on (series, span of ticks): a request
     touches a few spans, an observation one. Only observations in requested
@@ -217,7 +222,6 @@ def event_ticks(wanted: DataFrame, obs: DataFrame, grid: Grid = Grid(), span: in
         "value", blank_negative(F.col("value"), F.col("variable_code").isin(list(LIVE_SIGNED)))
     )
     points = bucket_last(clean, exact, keys=keys)
-    by = ["datastream_id", "feature"]
     inside = (
         spans.join(points, keys)
         .where(F.col("tick").between(F.col("lo"), F.col("hi")))
@@ -249,7 +253,9 @@ def event_features(
     contexts: Mapping[str, Sequence[Context]] = CONTEXTS,
 ) -> DataFrame:
     """Lags, context and calendar of each accepted event, with the reason it cannot be forecast."""
-    cells = event_ticks(requests(accepted, lags, grid, contexts), obs, grid)
+    # One row per window, not per event: written once, it is read for its spans, their points and its opening.
+    asked = per_key(requests(accepted, lags, grid, contexts))
+    cells = event_ticks(asked, obs, grid, by=WINDOW)
     every = {c.name: c for cs in contexts.values() for c in cs}
     fill_of = {"lags": "time", **{n: c.fill for n, c in every.items()}}
     value = F.lit(None).cast("double")
@@ -260,7 +266,7 @@ def event_features(
     run = F.when(
         observed_at().isNull(), t - F.coalesce(F.col("prev_tick"), F.col("lo") - 1)
     ).otherwise(F.lit(0))
-    cells = cells.select("datastream_id", "feature", "tick", value.alias("v"), run.alias("run"))
+    cells = cells.select(*WINDOW, "tick", value.alias("v"), run.alias("run"))
     is_lag = F.col("feature") == "lags"
     aggs = [
         F.array_sort(F.collect_list(F.when(is_lag, F.struct("tick", "v")))).alias("_lags"),
@@ -274,10 +280,11 @@ def event_features(
         aggs.append(F.when(F.count(v) >= c.least, number).alias(name))
         if c.reduce == "last":
             aggs[-1] = number.alias(name)
-    # One row per event and one per hour with contexts, written once for both joins.
-    found = stage(cells.groupBy("datastream_id", is_lag.alias("_own")).agg(*aggs))
-    own = found.where("_own").select("datastream_id", "_lags", "_n_lags", "longest_gap")
-    hours = per_key(found.where("NOT _own").select(F.col("datastream_id").alias("_hour"), *every))
+    # One row per series and hour, and one per hour with contexts, written once for both joins.
+    series = {"_site": F.when(is_lag, F.col("site_id")), "_code": F.when(is_lag, F.col("variable_code"))}
+    found = stage(cells.groupBy("at", is_lag.alias("_own"), *[c.alias(n) for n, c in series.items()]).agg(*aggs))
+    own = found.where("_own").select(F.col("at").alias("_at"), *series, "_lags", "_n_lags", "longest_gap")
+    hours = per_key(found.where("NOT _own").select(F.col("at").alias("_hour"), *every))
     wanted = {n: [t for t, cs in contexts.items() if n in {c.name for c in cs}] for n in every}
     lost = F.lit(None).cast("string")
     for target, cs in contexts.items():
@@ -286,9 +293,9 @@ def event_features(
                 (F.col("target_variable") == target) & F.col(c.name).isNull(), F.lit(f"no_{c.name}")
             ).otherwise(lost)
     start = F.col("forecast_start_time")
+    hourly = accepted.withColumn("_hour", tick_of("datetime_utc", grid))
     out = (
-        accepted.join(own, "datastream_id")
-        .withColumn("_hour", tick_of("datetime_utc", grid))
+        hourly.join(own, null_safe(hourly, own, {"_hour": "_at", "site_id": "_site", "variable_code": "_code"}))
         .join(hours, "_hour", "left")
         .withColumns({n: F.when(F.col("target_variable").isin(ts), F.col(n)) for n, ts in wanted.items()})
         .withColumn("lags", F.col("_lags.v"))
@@ -307,7 +314,7 @@ def event_features(
         )
     )
     return out.withColumns({n: c for n, c in calendar(start).items() if n != "season"}).drop(
-        "_lags", "_n_lags", "_hour"
+        "_lags", "_n_lags", "_hour", "_at", *series
     )
 
 

@@ -95,6 +95,26 @@ def test_features_and_forecast(spark, obs, full, registry, hours):
     assert doc["history_end_time"] == "2024-01-09 08:00:00" and len(doc["lags"]) == 168
 
 
+def test_events_of_one_series_and_hour_ask_for_one_window(spark, obs, full, registry, hours):
+    event = full.where((F.col("site_id") == 3) & (F.col("datetime_utc") == F.lit(hours(200))))
+    air = full.where((F.col("variable_code") == "AirTemp") & (F.col("datetime_utc") == F.lit(hours(200))))
+    ids = F.explode(F.sequence(F.lit(9000).cast("long"), F.lit(9039).cast("long")))
+    many = event.withColumn("datastream_id", ids)
+    events = accepted(spark, many.unionByName(air), registry).where("model_path IS NOT NULL")
+    assert live.requests(events, 168).count() == 2 + 3
+    rows = {r.datastream_id: r for r in live.event_features(events, full, 168).collect()}
+    alone = live.event_features(accepted(spark, event, registry), full, 168).first()
+    assert set(rows) == {*range(9000, 9040), air.first().datastream_id}
+    assert all(rows[i].asDict() | {"datastream_id": 0} == alone.asDict() | {"datastream_id": 0} for i in range(9000, 9040))
+    assert rows[air.first().datastream_id].lags == [-2.0] * 168
+
+
+def test_an_id_given_twice_keeps_its_windows_apart(spark, obs, full, registry, hours):
+    event = full.where((F.col("site_id") == 3) & F.col("datetime_utc").isin(hours(190), hours(200)))
+    rows = live.event_features(accepted(spark, event.withColumn("datastream_id", F.lit(7).cast("long")), registry), full, 168).collect()
+    assert {(r.datetime_utc, len(r.lags), r.failure) for r in rows} == {(hours(190), 168, None), (hours(200), 168, None)}
+
+
 @pytest.mark.parametrize(
     "gone,failure",
     [
